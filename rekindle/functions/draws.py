@@ -1,8 +1,4 @@
-"""Seeded random draws that depend only on row keys, never on partitioning.
-
-Integer mixing in 32-bit steps held in longs: it cannot overflow under ANSI rules and
-gives the same numbers in any SQL engine.
-"""
+"""Seeded random draws that depend only on row keys, never on partitioning."""
 
 from __future__ import annotations
 
@@ -13,52 +9,29 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# The multipliers of a published low-bias 32-bit integer hash.
-MULTIPLIERS = (0x21F0AAAD, 0x735A2D97)
-SHIFTS = (16, 15, 15)
 MASK = 0xFFFFFFFF
 
 
-def salt_of(name: str) -> int:
-    """31-bit odd number standing for the name of a draw."""
-    return (zlib.crc32(name.encode()) & 0x7FFFFFFF) | 1
-
+def salt_of(name: str, seed: int) -> int:
+    """64-bit number standing for one named draw under one seed."""
+    return (seed << 32) | zlib.crc32(name.encode())
 
-def _stage(df: DataFrame, keep: list[str], cells: dict[str, Column]) -> DataFrame:
-    return df.select(*keep, *[c.alias(n) for n, c in cells.items()])
 
+def uniform(name: str, keys: Sequence[str], seed: int = 42) -> Column:
+    """Uniform on the open interval (0, 1), from Spark's 32-bit hash of salt and keys.
 
-def _mix(df: DataFrame, keep: list[str], cells: dict[str, Column]) -> DataFrame:
-    """Scramble every cell; one projection per step keeps the expressions small."""
-    names = list(cells)
-    df = _stage(df, keep, cells)
-    for shift, factor in zip(SHIFTS, (*MULTIPLIERS, None)):
-        step = {n: F.col(n).bitwiseXOR(F.shiftright(n, shift)) for n in names}
-        if factor:
-            step = {n: (c * F.lit(factor)).bitwiseAND(F.lit(MASK)) for n, c in step.items()}
-        df = _stage(df, keep, step)
-    return df
+    The salt is hashed first, so rows that collide in one draw differ in the others.
+    """
+    hashed = F.hash(F.lit(salt_of(name, seed)).cast("long"), *[F.col(k).cast("long") for k in keys])
+    positive = hashed.cast("long").bitwiseAND(F.lit(MASK))
+    return (positive + F.lit(0.5)) / F.lit(float(MASK + 1))
 
 
 def with_uniforms(
     df: DataFrame, keys: Sequence[str], names: Sequence[str], seed: int = 42
 ) -> DataFrame:
-    """``df`` plus one column per name, uniform on the open interval (0, 1)."""
-    keep = list(df.columns)
-    cells = {"_a": F.lit(seed).cast("long"), "_b": F.lit(seed + 1).cast("long")}
-    state = _stage(df, keep, cells)
-    for key in keys:
-        value = F.col(key).cast("long")
-        for half in (value.bitwiseAND(F.lit(MASK)), F.shiftrightunsigned(value, 32)):
-            state = _mix(state, keep, {c: F.col(c).bitwiseXOR(half) for c in cells})
-    # Two 32-bit states make the draws of a row independent of those of any other row
-    # even when there are more rows than 32-bit numbers.
-    drawn = {
-        n: (F.col("_a") + F.shiftright("_b", 1) * F.lit(salt_of(n))).bitwiseAND(F.lit(MASK))
-        for n in names
-    }
-    mixed = _mix(state, keep, drawn)
-    return _stage(mixed, keep, {n: (F.col(n) + F.lit(0.5)) / F.lit(float(MASK + 1)) for n in names})
+    """``df`` plus one uniform column per name."""
+    return df.select("*", *[uniform(n, keys, seed).alias(n) for n in names])
 
 
 def choice(u: Column, values: Sequence[object], weights: Sequence[float]) -> Column:

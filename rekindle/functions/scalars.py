@@ -37,8 +37,9 @@ def relative_difference(base: Column, other: Column) -> Column:
 
 
 def clip_int(value: Column, low: int, high: int) -> Column:
-    """Clamp to ``[low, high]`` and drop the fraction."""
-    return F.least(F.greatest(value, F.lit(float(low))), F.lit(float(high))).cast("int")
+    """Clamp to ``[low, high]`` and drop the fraction; NULL stays NULL."""
+    clamped = F.least(F.greatest(value, F.lit(float(low))), F.lit(float(high)))
+    return F.when(value.isNotNull(), clamped).cast("int")
 
 
 def format_id(prefix: str, width: int, number: Column) -> Column:

@@ -12,6 +12,7 @@ from rekindle.contracts import LABEL, NUMERIC_FEATURES
 from rekindle.plans import evaluation, scoring, training
 from rekindle.session import scratch_path
 from rekindle.sources import views
+from rekindle.sources.tables import materialised
 from rekindle.sources.views import SNAPSHOT
 
 
@@ -104,7 +105,7 @@ def ml_correlations(spark: SparkSession, root: str) -> DataFrame:
 
 @query()
 def ml_prepare(spark: SparkSession, root: str) -> DataFrame:
-    table = training.materialised(training.typed(feature_table(spark, root)), "features")
+    table = materialised(training.typed(feature_table(spark, root)), "features")
     fitted = training.preparation().fit(table)
     vector = training.vector_to_array("features")
     return fitted.transform(table).select("user_id", F.col(LABEL).alias("label"), vector.alias("features"))
@@ -192,7 +193,7 @@ _ONE_TRIAL = (("logistic_regression", {"regParam": 0.01, "maxIter": 10}),)
 
 
 def _fitted_scores(spark: SparkSession, root: str) -> DataFrame:
-    table = training.materialised(feature_table(spark, root), "features")
+    table = materialised(feature_table(spark, root), "features")
     search = training.train_trials(table, _ONE_TRIAL)
     return scoring.score_batch(table, search.models["run_000"])
 

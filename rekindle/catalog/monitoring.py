@@ -10,6 +10,7 @@ from rekindle.catalog.sql import FEATURE_CHAIN, using
 from rekindle.contracts import NUMERIC_FEATURES
 from rekindle.plans import monitoring
 from rekindle.sources import views
+from rekindle.sources.tables import materialised
 
 
 def _drift_sql(train: str) -> str:
@@ -73,7 +74,7 @@ def mon_predictions(spark: SparkSession, root: str) -> DataFrame:
 @query(using(_DRIFT_BASE, _drift_sql("SELECT 'events_last_90d' AS feature, events_last_90d AS value FROM features")))
 def mon_drift(spark: SparkSession, root: str) -> DataFrame:
     report = monitoring.drift(
-        feature_table(spark, root),
+        materialised(feature_table(spark, root), "train"),
         views.inference_payload(spark, root),
         "events_last_90d",
         exact=True,
@@ -84,7 +85,7 @@ def mon_drift(spark: SparkSession, root: str) -> DataFrame:
 @query(using(_DRIFT_BASE, _drift_sql(_ALL_FEATURES)))
 def mon_drift_all(spark: SparkSession, root: str) -> DataFrame:
     report = monitoring.drift_all(
-        feature_table(spark, root),
+        materialised(feature_table(spark, root), "train"),
         views.inference_payload(spark, root),
         NUMERIC_FEATURES,
         exact=True,

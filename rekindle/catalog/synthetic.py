@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from rekindle.catalog.registry import query
 from rekindle.functions import draws
 from rekindle.plans import generate as g
-from rekindle.session import scratch_path
 from rekindle.sources import views
+from rekindle.sources.tables import materialised
 from rekindle.sources.views import SNAPSHOT
 
 TODAY = SNAPSHOT
@@ -308,10 +308,6 @@ _RULES = (
 @query("SELECT unnest([" + ", ".join(f"'{r}'" for r in _RULES) + "]) AS rule, 0::BIGINT AS violations")
 def gen_invariants(spark: SparkSession, root: str) -> DataFrame:
     ids, titles = user_keys(spark, root), book_keys(spark, root)
-    events = g.reading_events(ids, titles, TODAY)
-    # Five rules read the events: write them once instead of generating them five times.
-    path = scratch_path(spark, "generated_events")
-    events.write.parquet(path)
-    return g.invariants(
-        g.users(ids, TODAY), g.books(titles), spark.read.parquet(path), g.subscriptions(ids, TODAY)
-    )
+    # Many rules read the events: write them once instead of generating them each time.
+    events = materialised(g.reading_events(ids, titles, TODAY), "generated_events")
+    return g.invariants(g.users(ids, TODAY), g.books(titles), events, g.subscriptions(ids, TODAY))

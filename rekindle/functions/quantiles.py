@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import add, or_
 
@@ -27,34 +27,42 @@ def exact(
     value: str,
     probs: Sequence[float],
     names: Sequence[str],
+    aggregates: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """Exact interpolated percentiles of ``value`` per group, one row per group.
+    """Exact interpolated percentiles of ``value`` per group, next to other aggregates.
 
     The aggregate function for exact percentiles keeps all distinct values of a group in
-    one task. Here a sketch first brackets each percentile; then values outside every
-    bracket collapse to one counted row per gap on the map side, and only the
-    narrow brackets are ranked. A hot group therefore never meets in one task. A rank
-    outside its bracket would contradict the sketch's error bound and fails the job.
+    one task. Here a first pass brackets each percentile by a sketch; in the second,
+    values outside every bracket collapse to one counted row per gap on the map side, and
+    only the narrow brackets are ranked. A hot group therefore never meets in one task.
+    A rank outside its bracket would contradict the sketch's error bound and fails the
+    job. The other aggregates come from the first pass and ride along; they must be
+    numbers.
     """
-    rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
+    extra = dict(aggregates or {})
+    rows = df.withColumn("_v", F.col(value).cast("double"))
     cuts = [c for p in probs for c in (max(0.0, p - MARGIN), min(1.0, p + MARGIN))]
-    sketch = F.struct(
-        F.count(F.lit(1)).alias("n"), F.percentile_approx("_v", cuts, ACCURACY).alias("cuts")
-    )
+    first = [
+        F.count("_v").alias("_size"),
+        F.percentile_approx("_v", cuts, ACCURACY).alias("_cuts"),
+        *[c.alias(n) for n, c in extra.items()],
+    ]
+    carried = ["_size", "_cuts", *extra]
+    needed = rows.select(*keys, "_v")
     if keys:
-        brackets = rows.groupBy(*keys).agg(sketch.alias("_s"))
-        tagged = rows
         # Null-safe, so that a NULL group is kept like any other.
-        renamed = brackets.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_s")
+        stats = rows.groupBy(*keys).agg(*first)
+        stats = stats.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *carried)
         match = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
-        tagged = rows.join(renamed, match).select(*keys, "_v", "_s")
+        tagged = needed.join(stats, match).select(*keys, "_v", *carried)
     else:
-        tagged = rows.select("_v", rows.agg(sketch.alias("_s")).scalar().alias("_s"))
+        stats = rows.agg(*first).select(F.struct(*carried).alias("_s")).scalar()
+        tagged = needed.select("_v", stats.alias("_s")).select("_v", "_s.*")
 
-    v, s = F.col("_v"), F.col("_s.cuts")
-    spans = [(F.get(s, F.lit(2 * i)), F.get(s, F.lit(2 * i + 1))) for i in range(len(probs))]
+    v, c = F.col("_v"), F.col("_cuts")
+    spans = [(F.get(c, F.lit(2 * i)), F.get(c, F.lit(2 * i + 1))) for i in range(len(probs))]
     inside = reduce(or_, [(v >= lo) & (v <= hi) for lo, hi in spans]) | (
-        F.col("_s.n") <= SMALL_GROUP
+        F.col("_size") <= SMALL_GROUP
     )
     gap = reduce(add, [(v > hi).cast("int") for _, hi in spans])
     counted = (
@@ -63,9 +71,15 @@ def exact(
             "_v",
             F.when(inside, v).alias("_candidate"),
             F.when(~inside, gap).alias("_gap"),
+            *extra,
         )
         .groupBy(*keys, "_candidate", "_gap")
-        .agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_at"))
+        .agg(
+            # NULL values form a group of no rows: they keep the key but take no rank.
+            F.count("_v").alias("_n"),
+            F.min("_v").alias("_at"),
+            *[F.any_value(n).alias(n) for n in extra],
+        )
     )
     group = Window.partitionBy(*keys)
     ranked = counted.withColumn(
@@ -77,10 +91,10 @@ def exact(
         missed = F.raise_error(F.lit("percentile rank outside its bracket")).cast("double")
         return F.max(F.when(here, F.coalesce("_candidate", missed)))
 
-    out: list[Column] = []
+    tiles: list[Column] = []
     for p, name in zip(probs, names):
         position = F.lit(float(p)) * (F.col("_total") - 1)
         low, high = at_rank(F.floor(position)), at_rank(F.ceil(position))
         share = F.max(position - F.floor(position))
-        out.append((low + (high - low) * share).alias(name))
-    return ranked.groupBy(*keys).agg(*out)
+        tiles.append((low + (high - low) * share).alias(name))
+    return ranked.groupBy(*keys).agg(*[F.any_value(n).alias(n) for n in extra], *tiles)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -84,34 +84,25 @@ def column_summary(
     Percentiles are sketches unless ``exact``.
     """
     v = F.col(value).cast("double")
-    moments = [
-        F.count(v).alias("n"),
-        F.avg(v).alias("mean"),
-        F.stddev(v).alias("stddev"),
-    ]
-    probs, names = (0.5, 0.95), ("p50", "p95")
-    if not exact:
-        return df.groupBy(*keys).agg(*moments, *quantiles.approx(value, probs, names))
-    return with_exact(df, keys, value, moments, probs, names)
-
-
-def with_exact(
+    moments = {"n": F.count(v), "mean": F.avg(v), "stddev": F.stddev(v)}
+    return with_percentiles(df, keys, value, moments, (0.5, 0.95), ("p50", "p95"), exact)
+
+
+def with_percentiles(
     df: DataFrame,
     keys: Sequence[str],
     value: str,
-    aggregates: Sequence[Column],
+    plain: Mapping[str, Column],
     probs: Sequence[float],
     names: Sequence[str],
+    exact: bool,
 ) -> DataFrame:
-    """Ordinary aggregates next to exact percentiles, one row per group."""
-    base = df.groupBy(*keys).agg(*aggregates)
-    tiles = quantiles.exact(df, keys, value, probs, names)
-    if not keys:
-        packed = tiles.select(F.struct(*names).alias("_q")).scalar()
-        return base.withColumn("_q", packed).select("*", "_q.*").drop("_q")
-    renamed = tiles.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *names)
-    match = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
-    return base.join(renamed, match, "left").select(*base.columns, *names)
+    """Ordinary aggregates and percentiles of one column, one row per group."""
+    if exact:
+        return quantiles.exact(df, keys, value, probs, names, plain)
+    return df.groupBy(*keys).agg(
+        *[c.alias(n) for n, c in plain.items()], *quantiles.approx(value, probs, names)
+    )
 
 
 def rounded_histogram(df: DataFrame, value: str, bucket: str, digits: int = 2) -> DataFrame:

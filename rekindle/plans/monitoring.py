@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rekindle.contracts import DRIFT_THRESHOLD
-from rekindle.functions import payload_json, quantiles
+from rekindle.functions import payload_json
 from rekindle.functions.scalars import relative_difference
 from rekindle.operators import aggregates
 from rekindle.operators.projections import require_column
@@ -32,15 +32,11 @@ def usage(log: DataFrame) -> DataFrame:
 
 def latency(log: DataFrame, exact: bool = False) -> DataFrame:
     """Count, median, 95th percentile and maximum duration per status code."""
-    plain = [F.count(F.lit(1)).alias("n"), F.max("execution_duration_ms").alias("max_ms")]
-    probs, names = (0.5, 0.95), ("p50_ms", "p95_ms")
-    if exact:
-        result = aggregates.with_exact(
-            log, ["status_code"], "execution_duration_ms", plain, probs, names
-        )
-    else:
-        sketches = quantiles.approx("execution_duration_ms", probs, names)
-        result = log.groupBy("status_code").agg(*plain, *sketches)
+    plain = {"n": F.count(F.lit(1)), "max_ms": F.max("execution_duration_ms")}
+    names = ("p50_ms", "p95_ms")
+    result = aggregates.with_percentiles(
+        log, ["status_code"], "execution_duration_ms", plain, (0.5, 0.95), names, exact
+    )
     return result.select("status_code", "n", *names, "max_ms").orderBy("status_code")
 
 
@@ -48,15 +44,8 @@ def prediction_stats(log: DataFrame, exact: bool = False) -> DataFrame:
     """Count, mean, range and median of all predictions returned."""
     values = payload_json.predictions(log, ())
     p = F.col("prediction")
-    plain = [
-        F.count(F.lit(1)).alias("n"),
-        F.avg(p).alias("mean"),
-        F.min(p).alias("min"),
-        F.max(p).alias("max"),
-    ]
-    if exact:
-        return aggregates.with_exact(values, [], "prediction", plain, [0.5], ["p50"])
-    return values.agg(*plain, *quantiles.approx("prediction", [0.5], ["p50"]))
+    plain = {"n": F.count(F.lit(1)), "mean": F.avg(p), "min": F.min(p), "max": F.max(p)}
+    return aggregates.with_percentiles(values, [], "prediction", plain, [0.5], ["p50"], exact)
 
 
 def prediction_histogram(log: DataFrame) -> DataFrame:

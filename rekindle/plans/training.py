@@ -26,7 +26,7 @@ from rekindle.contracts import (
     RANDOM_SEED,
 )
 from rekindle.plans import evaluation
-from rekindle.session import scratch_path
+from rekindle.sources.tables import materialised
 
 FAMILIES = {
     "logistic_regression": LogisticRegression,
@@ -75,17 +75,6 @@ def preparation() -> Pipeline:
     )
 
 
-def materialised(df: DataFrame, name: str) -> DataFrame:
-    """Written to the shared scratch folder and read back.
-
-    Iterative fits then reread files instead of recomputing the joins behind them, and a
-    lost executor costs only its own tasks.
-    """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def positive_probability(scored: DataFrame) -> DataFrame:
     return scored.withColumn("probability", F.get(vector_to_array("probability"), F.lit(1)))
 

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rekindle.session import scratch_path
+
 
 def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Row count of every named table in one job; each branch is a map-side count."""
@@ -83,6 +85,17 @@ def overwrite_table(
     return df.sparkSession.table(name)
 
 
+def materialised(df: DataFrame, name: str) -> DataFrame:
+    """Written to the shared scratch folder and read back.
+
+    Later passes reread files instead of recomputing the joins behind them, and a lost
+    executor costs only its own tasks.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def roundtrip(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Create a table, insert ``df``, read it back, verify, and drop it on any outcome.
 

@@ -6,14 +6,22 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 SNAPSHOT = date(2000, 1, 1)
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def raw(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """One of the given tables. Its schema is read from the files once per process."""
     # The parquet timestamps carry no zone; UTC keeps every conversion neutral.
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark.read.parquet(f"{root}/{name}.parquet")
+    path = f"{root}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def users(spark: SparkSession, root: str) -> DataFrame:

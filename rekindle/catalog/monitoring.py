@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rekindle.catalog.features import feature_table
 from rekindle.catalog.registry import query, rounded
 from rekindle.catalog.sql import FEATURE_CHAIN, using
 from rekindle.contracts import NUMERIC_FEATURES
+from rekindle.functions import quantiles
 from rekindle.plans import monitoring
 from rekindle.sources import views
 from rekindle.sources.tables import materialised
@@ -60,9 +62,26 @@ def mon_latency(spark: SparkSession, root: str) -> DataFrame:
     return rounded(monitoring.latency(views.inference_payload(spark, root), exact=True), "p50_ms", "p95_ms")
 
 
-@query()
+@query(using("payload", """SELECT status_code, COUNT(*) AS n, MAX(execution_duration_ms) AS max_ms,
+TRUE AS p50_in_bounds, TRUE AS p95_in_bounds FROM payload GROUP BY status_code"""))
 def mon_latency_sketch(spark: SparkSession, root: str) -> DataFrame:
-    return monitoring.latency(views.inference_payload(spark, root))
+    """The default report; its percentiles must lie within the sketch's rank error."""
+    log = views.inference_payload(spark, root)
+    report = monitoring.latency(log).withColumnRenamed("status_code", "status")
+    joined = log.join(report, F.col("status_code").eqNullSafe(F.col("status")))
+    duration, n = F.col("execution_duration_ms"), F.count("execution_duration_ms")
+
+    def in_bounds(p: float, column: str):
+        slack = n * (4.0 / quantiles.ACCURACY) + 1
+        below, upto = F.count_if(duration < F.col(column)), F.count_if(duration <= F.col(column))
+        return (below <= n * p + slack) & (upto >= n * p - slack)
+
+    return joined.groupBy("status_code").agg(
+        F.max("n").alias("n"),
+        F.max("max_ms").alias("max_ms"),
+        in_bounds(0.5, "p50_ms").alias("p50_in_bounds"),
+        in_bounds(0.95, "p95_ms").alias("p95_in_bounds"),
+    )
 
 
 @query(using("payload predictions", """SELECT ROUND(prediction, 2) AS prediction_bucket, COUNT(*) AS count

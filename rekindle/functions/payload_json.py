@@ -25,12 +25,13 @@ def predictions(log: DataFrame, keep: Sequence[str] = ("request_date",)) -> Data
 
 
 def parsed_requests(log: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """Column names and rows of every successful request; NULL in any other shape."""
-    return (
-        log.where("status_code = 200")
-        .select(*keep, F.from_json("request", SPLIT_SCHEMA).alias("_q"))
-        .select(*keep, "_q.dataframe_split.columns", "_q.dataframe_split.data")
-    )
+    """Column names and rows of every successful request; NULL in any other shape.
+
+    ``inline`` hands both fields on as columns, so later filters on one of them cannot
+    make Spark parse the document again.
+    """
+    split = F.from_json("request", SPLIT_SCHEMA)["dataframe_split"]
+    return log.where("status_code = 200").select(*keep, F.inline(F.array(split)))
 
 
 def index_of(columns: Column, name: str) -> Column:

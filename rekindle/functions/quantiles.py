@@ -10,10 +10,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ACCURACY = 10_000
-# Groups up to this many rows are selected from whole; above it the margin below spans
-# many ranks, so it covers the sketch error several times over.
-SMALL_GROUP = 100_000
-MARGIN = 8.0 / ACCURACY
+# Half width of the bracket around a percentile, in shares of the rows, and the number
+# of equal-width buckets each bracket is cut into.
+MARGIN = 5.0 / ACCURACY
+BUCKETS = 1024
 
 
 def approx(value: str, probs: Sequence[float], names: Sequence[str]) -> list[Column]:
@@ -21,6 +21,30 @@ def approx(value: str, probs: Sequence[float], names: Sequence[str]) -> list[Col
     return [F.percentile_approx(value, p, ACCURACY).alias(n) for p, n in zip(probs, names)]
 
 
+def _bucket(v: Column, edges: Sequence[str]) -> Column:
+    """Order-preserving bucket of a value, fine inside the brackets and coarse outside."""
+    spans = list(zip(edges[::2], edges[1::2]))
+    passed = reduce(add, [(v > F.col(hi)).cast("int") for _, hi in spans])
+    place = F.lit(0)
+    for i, (lo, hi) in enumerate(spans):
+        low, width = F.col(lo), F.col(hi) - F.col(lo)
+        inside = (passed == i) & (width > 0) & (v > low)
+        share = F.least(F.floor((v - low) / width * BUCKETS), F.lit(BUCKETS - 1))
+        place = F.when(inside, share).otherwise(place)
+    return F.when(v.isNotNull(), passed * BUCKETS + place).cast("int")
+
+
+def _per_group(rows: DataFrame, groups: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Every row next to the one row of its group; NULL keys match each other."""
+    names = [c for c in groups.columns if c not in keys]
+    if not keys:
+        one = groups.select(F.struct(*names).alias("_g")).scalar()
+        return rows.select("*", one.alias("_g")).select(*rows.columns, "_g.*")
+    renamed = groups.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *names)
+    match = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
+    return rows.join(renamed, match).select(*rows.columns, *names)
+
+
 def exact(
     df: DataFrame,
     keys: Sequence[str],
@@ -32,69 +56,80 @@ def exact(
     """Exact interpolated percentiles of ``value`` per group, next to other aggregates.
 
     The aggregate function for exact percentiles keeps all distinct values of a group in
-    one task. Here a first pass brackets each percentile by a sketch; in the second,
-    values outside every bracket collapse to one counted row per gap on the map side, and
-    only the narrow brackets are ranked. A hot group therefore never meets in one task.
-    A rank outside its bracket would contradict the sketch's error bound and fails the
-    job. The other aggregates come from the first pass and ride along; they must be
-    numbers.
+    one task. This takes three passes and never gathers a group:
+
+    1. a sketch brackets each percentile (and yields the other, numeric, aggregates);
+    2. counts per order-preserving bucket, combined on the map side to at most
+       ``BUCKETS`` rows per bracket, tell in which bucket each wanted rank lies;
+    3. only the rows of those buckets are ranked, each bucket by itself.
+
+    The sketch only decides how even the buckets are; the result does not depend on it.
     """
     extra = dict(aggregates or {})
     rows = df.withColumn("_v", F.col(value).cast("double"))
+    v, needed = F.col("_v"), rows.select(*keys, "_v")
     cuts = [c for p in probs for c in (max(0.0, p - MARGIN), min(1.0, p + MARGIN))]
-    first = [
-        F.count("_v").alias("_size"),
+    edges = [f"_edge_{i}" for i in range(len(cuts))]
+    stats = rows.groupBy(*keys).agg(
         F.percentile_approx("_v", cuts, ACCURACY).alias("_cuts"),
         *[c.alias(n) for n, c in extra.items()],
-    ]
-    carried = ["_size", "_cuts", *extra]
-    needed = rows.select(*keys, "_v")
-    if keys:
-        # Null-safe, so that a NULL group is kept like any other.
-        stats = rows.groupBy(*keys).agg(*first)
-        stats = stats.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *carried)
-        match = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
-        tagged = needed.join(stats, match).select(*keys, "_v", *carried)
-    else:
-        stats = rows.agg(*first).select(F.struct(*carried).alias("_s")).scalar()
-        tagged = needed.select("_v", stats.alias("_s")).select("_v", "_s.*")
-
-    v, c = F.col("_v"), F.col("_cuts")
-    spans = [(F.get(c, F.lit(2 * i)), F.get(c, F.lit(2 * i + 1))) for i in range(len(probs))]
-    inside = reduce(or_, [(v >= lo) & (v <= hi) for lo, hi in spans]) | (
-        F.col("_size") <= SMALL_GROUP
     )
-    gap = reduce(add, [(v > hi).cast("int") for _, hi in spans])
-    counted = (
-        tagged.select(
-            *keys,
-            "_v",
-            F.when(inside, v).alias("_candidate"),
-            F.when(~inside, gap).alias("_gap"),
-            *extra,
+    stats = stats.select(
+        *keys, *[F.get("_cuts", F.lit(i)).alias(e) for i, e in enumerate(edges)], *extra
+    )
+    carried = [F.any_value(c).alias(c) for c in (*edges, *extra)]
+
+    # NULL values form a bucket of no rows: it keeps their group but takes no rank.
+    counts = (
+        _per_group(needed, stats, keys)
+        .groupBy(*keys, _bucket(v, edges).alias("_b"))
+        .agg(F.count("_v").alias("_n"), *carried)
+    )
+    group = Window.partitionBy(*keys)
+    upto = group.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+    counts = counts.select(
+        "*", F.sum("_n").over(upto).alias("_upto"), F.sum("_n").over(group).alias("_total")
+    )
+    positions = [F.lit(float(p)) * (F.col("_total") - 1) for p in probs]
+    ranks = [(F.floor(x), F.ceil(x)) for x in positions]
+
+    def holds(rank: Column) -> Column:
+        return (rank >= F.col("_upto") - F.col("_n")) & (rank < F.col("_upto"))
+
+    wanted = reduce(or_, [holds(r) for pair in ranks for r in pair])
+    start = F.col("_upto") - F.col("_n")
+    plan = (
+        counts.where(wanted | F.col("_b").isNull())
+        .groupBy(*keys)
+        .agg(
+            # At most two buckets per percentile.
+            F.map_from_entries(
+                F.collect_list(F.when(F.col("_b").isNotNull(), F.struct("_b", start.alias("s"))))
+            ).alias("_starts"),
+            F.max("_total").alias("_total"),
+            *carried,
         )
-        .groupBy(*keys, "_candidate", "_gap")
+    )
+
+    ranked = (
+        _per_group(needed, plan, keys)
+        .withColumn("_start", F.try_element_at("_starts", _bucket(v, edges)))
+        .where(F.col("_start").isNotNull() | v.isNull())
+        .groupBy(*keys, "_start", "_v")
         .agg(
-            # NULL values form a group of no rows: they keep the key but take no rank.
             F.count("_v").alias("_n"),
-            F.min("_v").alias("_at"),
+            F.any_value("_total").alias("_total"),
             *[F.any_value(n).alias(n) for n in extra],
         )
     )
-    group = Window.partitionBy(*keys)
-    ranked = counted.withColumn(
-        "_upto", F.sum("_n").over(group.orderBy("_at").rowsBetween(Window.unboundedPreceding, 0))
-    ).withColumn("_total", F.sum("_n").over(group))
-
-    def at_rank(rank: Column) -> Column:
-        here = (rank >= F.col("_upto") - F.col("_n")) & (rank < F.col("_upto"))
-        missed = F.raise_error(F.lit("percentile rank outside its bracket")).cast("double")
-        return F.max(F.when(here, F.coalesce("_candidate", missed)))
-
+    within = (
+        Window.partitionBy(*keys, "_start")
+        .orderBy("_v")
+        .rowsBetween(Window.unboundedPreceding, 0)
+    )
+    ranked = ranked.withColumn("_upto", F.col("_start") + F.sum("_n").over(within))
     tiles: list[Column] = []
-    for p, name in zip(probs, names):
-        position = F.lit(float(p)) * (F.col("_total") - 1)
-        low, high = at_rank(F.floor(position)), at_rank(F.ceil(position))
-        share = F.max(position - F.floor(position))
-        tiles.append((low + (high - low) * share).alias(name))
+    for x, (floor, ceil), name in zip(positions, ranks, names):
+        low, high = F.max(F.when(holds(floor), v)), F.max(F.when(holds(ceil), v))
+        tiles.append((low + (high - low) * F.max(x - F.floor(x))).alias(name))
     return ranked.groupBy(*keys).agg(*[F.any_value(n).alias(n) for n in extra], *tiles)

@@ -77,6 +77,10 @@ def exact(
     stats = stats.select(
         *keys, *[F.get("_cuts", F.lit(i)).alias(e) for i, e in enumerate(edges)], *extra
     )
+    if not keys:
+        # An empty table still has its one global row: a NULL value keeps it alive.
+        nothing = df.sparkSession.range(1).select(F.lit(None).cast("double").alias("_v"))
+        needed = needed.union(nothing)
     carried = [F.any_value(c).alias(c) for c in (*edges, *extra)]
 
     # NULL values form a bucket of no rows: it keeps their group but takes no rank.

@@ -162,7 +162,9 @@ def fan_out(plan: DataFrame, count: str = "k", ordinal: str = "i") -> DataFrame:
     )
     first = F.col("_chunk") * F.col("_size") + 1
     last = F.least(first + F.col("_size") - 1, k)
-    spread = chunked.repartition(*[F.col(c) for c in plan.columns[:1]], F.col("_chunk"))
+    # A stated number of partitions: these few rows grow, so none may be merged away.
+    tasks = int(plan.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = chunked.repartition(tasks, F.col(plan.columns[0]), F.col("_chunk"))
     return spread.withColumn(ordinal, F.explode(F.sequence(first, last))).drop("_size", "_chunk")
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import warnings
 from collections.abc import Mapping
+from datetime import date, datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +14,15 @@ from pyspark.sql import types as T
 from rekindle.session import scratch_path
 
 
+_FILLERS = {
+    "string": "",
+    "boolean": False,
+    "date": date(1970, 1, 1),
+    "timestamp": datetime(1970, 1, 1),
+    "timestamp_ntz": datetime(1970, 1, 1),
+}
+
+
 def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Row count of every named table in one job; each branch is a map-side count."""
     counted = [
@@ -36,9 +46,10 @@ def enforce_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
         value = F.col(field.name).cast(field.dataType)
         if field.nullable:
             return value.alias(field.name)
-        # Typed as NOT NULL for Catalyst: coalesce with a non-null expression is not null.
-        guard = F.raise_error(F.lit(f"NULL in NOT NULL column {field.name}"))
-        return F.coalesce(value, guard.cast(field.dataType)).alias(field.name)
+        guard = F.raise_error(F.lit(f"NULL in NOT NULL column {field.name}")).cast(field.dataType)
+        # Never reached after the guard; a literal last makes the column NOT NULL for Catalyst.
+        last = F.lit(_FILLERS.get(field.dataType.typeName(), 0)).cast(field.dataType)
+        return F.coalesce(value, guard, last).alias(field.name)
 
     return df.select(*[checked(f) for f in schema.fields])
 

@@ -37,40 +37,40 @@ def _murmur(h: int, v: int) -> int:
 def _uniforms(source: str, keys: Sequence[str], names: Sequence[str]) -> str:
     """SELECT adding one uniform column per name to ``source``.
 
-    Spells out Murmur3 in unsigned 64-bit arithmetic; every step is a helper column that
-    later ones refer to, and the outer SELECT keeps only the results.
+    Spells out Murmur3 in unsigned 64-bit arithmetic, one nested SELECT per step so that
+    no expression grows. A 32-bit rotation is a product modulo 2^32 - 1.
     """
     m = f"{draws.MASK}::UBIGINT"
-    steps: list[str] = []
-
-    def step(expr: str) -> str:
-        steps.append(f"{expr} AS _s{len(steps)}")
-        return f"_s{len(steps) - 1}"
 
     def times(x: str, factor: int, plus: int = 0) -> str:
-        return step(f"({x} * {factor}::UBIGINT + {plus}::UBIGINT) & {m}")
+        return f"(({x} * {factor}::UBIGINT + {plus}::UBIGINT) & {m})"
 
     def rotl(x: str, r: int) -> str:
-        return step(f"(({x} << {r}) | ({x} >> {32 - r})) & {m}")
+        return f"(({x} * {1 << r}::UBIGINT) % {m})"
+
+    def half(key: str, part: str) -> str:
+        bits = f"({key}::BIGINT & {draws.MASK})" if part == "lo" else f"({key}::BIGINT >> 32)"
+        k = times(rotl(times(f"{bits}::UBIGINT", 0xCC9E2D51), 15), 0x1B873593)
+        return f"{k} AS _{part}_{key}"
+
+    halves = [half(k, part) for k in keys for part in ("lo", "hi")]
+    start = [f"{_murmur(42, draws.salt_of(n, SEED))}::UBIGINT AS {n}" for n in names]
+    sql = f"SELECT *, {', '.join(halves + start)} FROM {source}"
+
+    def level(cell) -> None:
+        nonlocal sql
+        sql = f"SELECT * REPLACE ({', '.join(f'{cell(n)} AS {n}' for n in names)}) FROM ({sql})"
 
-    halves: dict[str, list[str]] = {}
     for key in keys:
-        halves[key] = []
-        for half in (f"({key}::BIGINT & {draws.MASK})::UBIGINT", f"({key}::BIGINT >> 32)::UBIGINT"):
-            k = times(rotl(times(step(half), 0xCC9E2D51), 15), 0x1B873593)
-            halves[key].append(k)
-    cells = []
-    for n in names:
-        h = f"{_murmur(42, draws.salt_of(n, SEED))}::UBIGINT"
-        for key in keys:
-            for k in halves[key]:
-                h = times(rotl(step(f"xor({h}, {k})"), 13), 5, 0xE6546B64)
-            h = step(f"xor({h}, 8::UBIGINT)")
-            h = times(step(f"xor({h}, {h} >> 16)"), 0x85EBCA6B)
-            h = times(step(f"xor({h}, {h} >> 13)"), 0xC2B2AE35)
-            h = step(f"xor({h}, {h} >> 16)")
-        cells.append(f"({h}::DOUBLE + 0.5::DOUBLE) / 4294967296.0::DOUBLE AS {n}")
-    return f"SELECT * EXCLUDE ({', '.join(x.split(' AS ')[1] for x in steps)}), {', '.join(cells)} FROM (SELECT *, {', '.join(steps)} FROM {source})"
+        for part in ("lo", "hi"):
+            level(lambda n: times(rotl(f"xor({n}, _{part}_{key})", 13), 5, 0xE6546B64))
+        level(lambda n: f"xor({n}, 8::UBIGINT)")
+        level(lambda n: times(f"xor({n}, {n} >> 16)", 0x85EBCA6B))
+        level(lambda n: times(f"xor({n}, {n} >> 13)", 0xC2B2AE35))
+        level(lambda n: f"xor({n}, {n} >> 16)")
+    level(lambda n: f"({n}::DOUBLE + 0.5::DOUBLE) / 4294967296.0::DOUBLE")
+    helpers = ", ".join(f"_{part}_{key}" for key in keys for part in ("lo", "hi"))
+    return f"SELECT * EXCLUDE ({helpers}) FROM ({sql})"
 
 
 def _text(value: object) -> str:

@@ -26,6 +26,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from zlib import crc32
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -37,13 +38,14 @@ from rekindle.llm.common import written
 THRESHOLD = 0.7
 MAX_LABELLED = 60_000
 MAX_TERMS = 20_000
-#: Toxic training documents that must hold a term.
+#: Toxic training texts that must hold a term: at least so many, and this share of them.
 LEAST = 3
+LEAST_SHARE = 0.02
 #: Lengths of word beginnings that are terms.
 STEMS = (4, 5, 6, 7)
 NEAR = 3
 #: Score of a clause that has no hit.
-PRIOR = 0.01
+PRIOR = 0.02
 
 # Closed word classes of English, German, French and Spanish.
 TARGETS = frozenset(
@@ -156,6 +158,21 @@ def _labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, li
     )
 
 
+@pandas_udf("long")
+def _likeness(texts: pd.Series) -> pd.Series:
+    """Smallest hash of two neighbouring words: mostly equal for near copies of a text.
+
+    Near copies would otherwise count the rare words of one text as many times.
+    """
+
+    def least(text: str | None) -> int:
+        words = (text or "").lower().encode("utf-8", "surrogatepass").split()
+        pairs = zip(words, words[1:] or words, strict=False)
+        return min((crc32(a + b" " + b) for a, b in pairs), default=-1)
+
+    return texts.map(least)
+
+
 def fit(
     docs: DataFrame,
     labels: DataFrame,
@@ -165,6 +182,10 @@ def fit(
 ) -> Grammar:
     """The grammar learned from labelled rows outside the held-out fold."""
     rows = _labelled(docs, labels, id_col, text_col, limit).select("text", "label")
+    rows = written(
+        rows.withColumn("like", _likeness("text")).dropDuplicates(["like", "label"]).drop("like"),
+        "toxicity-training",
+    )
 
     def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         positive, negative, totals = Counter(), Counter(), Counter()
@@ -196,8 +217,8 @@ def fit(
     total = counts.filter(F.col("term") == "").first()
     if not total or not total["toxic"] or not total["clean"]:
         return Grammar()
-    ratio = ((F.col("toxic") + 0.1) / (total["toxic"] + 1.0)) / (
-        (F.col("clean") + 0.1) / (total["clean"] + 1.0)
+    ratio = ((F.col("toxic") + 0.5) / (total["toxic"] + 1.0)) / (
+        (F.col("clean") + 0.5) / (total["clean"] + 1.0)
     )
     best = (
         counts.filter(F.col("term") != "")

@@ -27,6 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import LongType
 
 from rekindle.llm.common import written
 
@@ -63,7 +64,7 @@ def fingerprint(text: str | None, width: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > last, bitorder="little").view("<u8")[0])
 
 
-@pandas_udf("long")
+@pandas_udf(LongType())
 def _fingerprints(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for part in texts:
         values = np.fromiter((fingerprint(t) for t in part), np.uint64, len(part))

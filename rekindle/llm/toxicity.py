@@ -32,6 +32,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import LongType
 
 from rekindle.llm.common import written
 
@@ -158,7 +159,7 @@ def _labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, li
     )
 
 
-@pandas_udf("long")
+@pandas_udf(LongType())
 def _likeness(texts: pd.Series) -> pd.Series:
     """Smallest hash of two neighbouring words: mostly equal for near copies of a text.
 

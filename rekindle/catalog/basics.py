@@ -54,30 +54,31 @@ def src_nan_to_null_int(spark: SparkSession, root: str) -> DataFrame:
 
 @query(using("users", "SELECT * FROM users"))
 def sink_overwrite(spark: SparkSession, root: str) -> DataFrame:
-    path = scratch_path(spark, "sink_users")
+    path, name = scratch_path(spark, "sink_users"), tables.own_name("users")
     table = views.users(spark, root)
-    tables.overwrite_table(table.limit(0), "rekindle_users", path)
-    return tables.overwrite_table(table, "rekindle_users", path)
+    # What stands there first has other rows, so that appending would show.
+    tables.overwrite_table(table.withColumn("user_id", -F.col("user_id")), name, path)
+    return tables.overwrite_table(table, name, path)
 
 
 @query(using("users", "SELECT user_id, plan_type, region FROM users"))
 def sink_overwrite_schema(spark: SparkSession, root: str) -> DataFrame:
-    path = scratch_path(spark, "sink_profiles")
+    path, name = scratch_path(spark, "sink_profiles"), tables.own_name("profiles")
     table = views.users(spark, root)
-    tables.overwrite_table(table.limit(0), "rekindle_profiles", path)
+    tables.overwrite_table(table, name, path)
     narrow = table.select("user_id", "plan_type", "region")
-    return tables.overwrite_table(narrow, "rekindle_profiles", path, replace_schema=True)
+    return tables.overwrite_table(narrow, name, path, replace_schema=True)
 
 
 @query("SELECT COUNT(*) AS rows_written, COUNT(*) AS rows_read, TRUE AS identical FROM customer")
 def sink_roundtrip(spark: SparkSession, root: str) -> DataFrame:
     table = views.raw(spark, root, "customer")
-    return tables.roundtrip(table, "rekindle_roundtrip", scratch_path(spark, "roundtrip"))
+    return tables.roundtrip(table, tables.own_name("roundtrip"), scratch_path(spark, "roundtrip"))
 
 
 @query(using("books", "SELECT format, COUNT(*) AS n FROM books GROUP BY format"))
 def src_require_table(spark: SparkSession, root: str) -> DataFrame:
-    name = "rekindle_books"
+    name = tables.own_name("books")
     tables.overwrite_table(views.books(spark, root), name, scratch_path(spark, "require"))
     return aggregates.group_counts(tables.require_table(spark, name), ["format"])
 
@@ -209,13 +210,12 @@ def join_inner_dim(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-# Half the catalogue is withheld so that the unmatched side has rows.
 @query(using("reading_events books", """SELECT user_id, e.book_id, event_ts, genre, format FROM reading_events e
-LEFT JOIN (SELECT * FROM books WHERE format = 'audiobook') b ON e.book_id = b.book_id"""))
+LEFT JOIN books b ON e.book_id = b.book_id"""))
 def join_left_dim(spark: SparkSession, root: str) -> DataFrame:
     events = views.reading_events(spark, root).select(*_EVENT_KEYS)
-    audio = views.books(spark, root).where(F.col("format") == "audiobook")
-    return joins.left_dim(events, audio.select("book_id", "genre", "format"), "book_id")
+    books = views.books(spark, root).select("book_id", "genre", "format")
+    return joins.left_dim(events, books, "book_id")
 
 
 @query(using("reading_events", """SELECT DISTINCT user_id FROM reading_events h

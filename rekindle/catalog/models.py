@@ -58,14 +58,16 @@ def ml_dataset_checks(spark: SparkSession, root: str) -> DataFrame:
 @query(on_features("""SELECT user_id, will_reactivate, CASE WHEN place < 0.6::DOUBLE THEN 'train'
 WHEN place < 0.8::DOUBLE THEN 'validation' ELSE 'test' END AS split FROM (
 SELECT user_id, will_reactivate, (ROW_NUMBER() OVER (PARTITION BY will_reactivate
-ORDER BY (user_id % 2147483647) * 2654435761 % 4294967296, user_id) - 1)::DOUBLE
+ORDER BY substr(md5(CAST(user_id AS VARCHAR)), 1, 8), user_id) - 1)::DOUBLE
 / COUNT(*) OVER (PARTITION BY will_reactivate) AS place FROM features)"""))
 def ml_stratified_split(spark: SparkSession, root: str) -> DataFrame:
     labels = feature_table(spark, root).select("user_id", LABEL)
     return evaluation.stratified_split(labels, "user_id")
 
 
-_PROFILED = ("tenure_days", "plan_type", "avg_progress_pct", "top_genre", "events_last_90d")
+_PROFILED = ("tenure_days", "plan_type", "region", "device_type", "age_band", "avg_progress_pct", "top_genre",
+             "total_events", "total_session_minutes", "distinct_books", "days_since_last_event",
+             "events_last_90d", "events_last_180d")
 
 
 def _profile_sql(column: str) -> str:
@@ -92,7 +94,8 @@ def ml_profile_columns(spark: SparkSession, root: str) -> DataFrame:
     return rounded(profile, "mean", "stddev", "min", "max", digits=6)
 
 
-_CORRELATED = ("tenure_days", "total_events", "days_since_last_event", "events_last_180d", "will_reactivate")
+_CORRELATED = ("tenure_days", "total_events", "total_session_minutes", "distinct_books",
+               "days_since_last_event", "events_last_90d", "events_last_180d", "will_reactivate")
 
 
 @query(on_features(" UNION ALL ".join(
@@ -123,23 +126,24 @@ AVG(-ln(CASE WHEN label = 1 THEN probability ELSE 1 - probability END)) AS log_l
 SELECT model, n, tp, fp, fn, tn, ROUND((tp + tn)::DOUBLE / n, 10) AS accuracy,
 ROUND(COALESCE(tp::DOUBLE / NULLIF(tp + fp, 0), 0), 10) AS precision,
 ROUND(COALESCE(tp::DOUBLE / NULLIF(tp + fn, 0), 0), 10) AS recall,
-ROUND(COALESCE(2.0::DOUBLE * tp / NULLIF(2 * tp + fp + fn, 0), 0), 10) AS f1, ROUND(log_loss, 10) AS log_loss FROM c"""))
+ROUND(COALESCE(2.0::DOUBLE * tp / NULLIF(2 * tp + fp + fn, 0), 0), 10) AS f1, ROUND(log_loss, 10) AS log_loss,
+CAST(0 AS BIGINT) AS unscored FROM c"""))
 def ml_metrics(spark: SparkSession, root: str) -> DataFrame:
     table = evaluation.metrics(scores(spark, root))
     return rounded(table, "accuracy", "precision", "recall", "f1", "log_loss")
 
 
-_BUCKETED = _SCORES + """, b AS (SELECT model, label, LEAST(FLOOR(probability * 1000), 999) AS bucket FROM scores)"""
+_BY_SCORE = _SCORES + """, b AS (SELECT model, label, probability AS bucket FROM scores)"""
 
 
-@query(on_features(_BUCKETED + """SELECT p.model, ROUND(SUM(CASE WHEN p.bucket > n.bucket THEN 1.0::DOUBLE
+@query(on_features(_BY_SCORE + """SELECT p.model, ROUND(SUM(CASE WHEN p.bucket > n.bucket THEN 1.0::DOUBLE
 WHEN p.bucket = n.bucket THEN 0.5::DOUBLE ELSE 0 END) / COUNT(*), 10) AS roc_auc
 FROM b p JOIN b n ON p.model = n.model AND p.label = 1 AND n.label = 0 GROUP BY p.model"""))
 def ml_roc_auc(spark: SparkSession, root: str) -> DataFrame:
     return rounded(evaluation.roc_auc(scores(spark, root)), "roc_auc")
 
 
-@query(on_features(_BUCKETED + """, h AS (SELECT model, bucket, SUM(label) AS pos, COUNT(*) AS k FROM b GROUP BY ALL),
+@query(on_features(_BY_SCORE + """, h AS (SELECT model, bucket, SUM(label) AS pos, COUNT(*) AS k FROM b GROUP BY ALL),
 c AS (SELECT model, bucket, pos::DOUBLE / SUM(pos) OVER (PARTITION BY model) AS width,
 SUM(pos) OVER w::DOUBLE / SUM(k) OVER w AS prec FROM h WINDOW w AS (PARTITION BY model ORDER BY bucket DESC))
 SELECT model, ROUND(SUM(width * (prec + before) / 2), 10) AS pr_auc FROM (SELECT *,
@@ -150,7 +154,7 @@ def ml_pr_auc(spark: SparkSession, root: str) -> DataFrame:
 
 @query(using("trials", """SELECT experiment, CAST(rank AS INTEGER) AS rank, run_id, model_family, value FROM (
 SELECT *, ROW_NUMBER() OVER (PARTITION BY experiment ORDER BY value DESC, run_id) AS rank
-FROM trials WHERE metric = 'val_f1_score' AND value IS NOT NULL) WHERE rank <= 10"""))
+FROM trials WHERE metric = 'val_f1_score' AND value IS NOT NULL)"""))
 def ml_leaderboard(spark: SparkSession, root: str) -> DataFrame:
     return evaluation.leaderboard(views.trials(spark, root), "val_f1_score")
 

@@ -26,7 +26,7 @@ _CTES = {
   SELECT o_custkey AS user_id, CAST(o_orderdate AS DATE) AS start_date,
          CASE WHEN o_orderstatus = 'F' THEN CAST(CAST(o_orderdate AS DATE) + 30 AS DATE) END AS end_date,
          CASE WHEN o_orderstatus = 'F' THEN o_orderpriority END AS cancel_reason
-  FROM orders WHERE o_orderkey % 10 = 0)""",
+  FROM orders)""",
     "payload": """payload AS (
   SELECT CAST(event_id AS VARCHAR) AS request_id,
          CASE WHEN event_id % 3 = 0 THEN CAST(user_id AS VARCHAR) END AS client_request_id,

@@ -271,7 +271,10 @@ FLOOR(event_book * (SELECT COUNT(*) FROM part)::DOUBLE)::BIGINT AS b,
 SELECT user_id, 'b_' || lpad(b::VARCHAR, GREATEST(5, len(b::VARCHAR))::INTEGER, '0') AS book_id, event_ts, progress_pct,
 session_minutes, progress_pct >= 0.95::DOUBLE AS finished, rating FROM b_""")
 def gen_events(spark: SparkSession, root: str) -> DataFrame:
-    return g.reading_events(user_keys(spark, root), book_keys(spark, root), TODAY)
+    events = g.reading_events(user_keys(spark, root), book_keys(spark, root), TODAY)
+    # The oracle states the wall clock in the drawing zone, whatever the session's zone is.
+    clock = F.expr("timestamp_ntz '1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, unix_seconds(event_ts))")
+    return events.withColumn("event_ts", clock)
 
 
 def _subscription_sql() -> str:

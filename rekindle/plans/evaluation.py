@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rekindle.contracts import LABEL
+from rekindle.sources.tables import materialised
 
 SPLITS = {"train": 0.6, "validation": 0.2, "test": 0.2}
-SCORE_BUCKETS = 1000
+#: Rows of one label that are ranked by one task.
+ROWS_PER_BUCKET = 50_000
+#: Distinct scores of a model whose running sums one task takes.
+SCORES_PER_PART = 50_000
 PROBABILITY_FLOOR = 1e-15
 
 
@@ -48,8 +53,8 @@ def dataset_checks(
 
 
 def key_hash(key: Column) -> Column:
-    """Multiplicative hash of an integer key onto [0, 2^32)."""
-    return F.pmod(F.pmod(key, F.lit(2147483647)) * F.lit(2654435761), F.lit(4294967296))
+    """Hash of a key of any type onto [0, 2^32): the first 32 bits of the MD5 of its text."""
+    return F.conv(F.substring(F.md5(key.cast("string")), 1, 8), 16, 10).cast("long")
 
 
 def stratified_split(
@@ -57,15 +62,18 @@ def stratified_split(
     key: str,
     label: str = LABEL,
     shares: Mapping[str, float] = SPLITS,
-    buckets: int = 4096,
+    buckets: int | None = None,
 ) -> DataFrame:
     """``df`` plus a ``split`` column with the exact shares inside every label value.
 
     A row's rank by hash within its label decides its split. Ranking a whole label in
     one window would put half of the table in one task, so ranks are found in two steps:
     the small table of counts per (label, hash bucket) gives each bucket its starting
-    rank, and only rows of one bucket are ranked together.
+    rank, and only rows of one bucket are ranked together. The number of buckets follows
+    from the number of rows.
     """
+    if buckets is None:
+        buckets = max(1, -(-df.count() // ROWS_PER_BUCKET))
     hashed = df.withColumn("_h", key_hash(F.col(key)))
     hashed = hashed.withColumn("_b", F.floor(F.col("_h") / F.lit(4294967296 / buckets)).cast("int"))
     counts = hashed.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_n"))
@@ -111,18 +119,30 @@ def profile_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
     k, x = F.col("k"), F.col("x")
     known = F.sum(F.when(x.isNotNull(), k))
-    # Sums of squares around zero lose digits only when the mean dwarfs the spread.
     mean = F.try_divide(F.sum(x * k), known)
-    spread = F.greatest(F.sum(x * x * k) - known * mean * mean, F.lit(0.0))
-    return values.groupBy("column_name").agg(
+    # Spark's own moments merge without losing digits, whatever the size of the mean.
+    own = df.agg(
+        F.array(
+            *[
+                F.struct(
+                    F.lit(c).alias("column_name"),
+                    (F.stddev(F.col(c).cast("double")) if c in numeric else F.lit(None).cast("double")).alias("stddev"),
+                )
+                for c in columns
+            ]
+        ).alias("s")
+    ).select(F.inline("s"))
+    counted = values.groupBy("column_name").agg(
         F.sum(k).alias("n"),
         F.coalesce(F.sum(F.when(F.col("text").isNull(), k)), F.lit(0)).alias("nulls"),
         F.count("text").alias("distinct_values"),
         mean.alias("mean"),
-        F.sqrt(F.try_divide(spread, known - 1)).alias("stddev"),
         F.min(x).alias("min"),
         F.max(x).alias("max"),
     )
+    return counted.join(own, "column_name").select(
+        "column_name", "n", "nulls", "distinct_values", "mean", "stddev", "min", "max"
+    )
 
 
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -146,17 +166,22 @@ def metrics(
     probability: str = "probability",
     threshold: float = 0.5,
 ) -> DataFrame:
-    """Accuracy, precision, recall, F1 and log-loss per model; 0 where undefined."""
-    y, p = F.col(label) == 1, F.col(probability)
+    """Accuracy, precision, recall, F1 and log-loss per model; 0 where undefined.
+
+    Rows without a score or a label count as ``unscored`` and nowhere else.
+    """
+    usable = F.col(label).isNotNull() & F.col(probability).isNotNull()
+    y, p = F.col(label) == 1, F.when(usable, F.col(probability))
     hit = p >= threshold
     bounded = F.least(F.greatest(p, F.lit(PROBABILITY_FLOOR)), F.lit(1 - PROBABILITY_FLOOR))
     counted = scores.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"),
+        F.count_if(usable).alias("n"),
+        F.count_if(~usable).alias("unscored"),
         F.count_if(hit & y).alias("tp"),
         F.count_if(hit & ~y).alias("fp"),
         F.count_if(~hit & y).alias("fn"),
         F.count_if(~hit & ~y).alias("tn"),
-        F.avg(-F.ln(F.when(y, bounded).otherwise(1 - bounded))).alias("log_loss"),
+        F.avg(F.when(usable, -F.ln(F.when(y, bounded).otherwise(1 - bounded)))).alias("log_loss"),
     )
     tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
 
@@ -175,32 +200,54 @@ def metrics(
         ratio(tp, tp + fn).alias("recall"),
         ratio(2 * tp, 2 * tp + fp + fn).alias("f1"),
         "log_loss",
+        "unscored",
     )
 
 
-def _curve(
-    scores: DataFrame, keys: Sequence[str], label: str, probability: str, buckets: int
-) -> DataFrame:
-    """Per model and score bucket, best scores first: own and cumulative counts.
+def _curve(scores: DataFrame, keys: Sequence[str], label: str, probability: str) -> DataFrame:
+    """Per model and distinct score, best first: own counts, counts before it, and totals.
 
-    At most ``buckets`` rows per model reach the window, however many were scored.
+    Rows without a score or a label are left out. Running sums take two steps, so that no task
+    holds all scores of a model: sums over ranges of scores, then sums inside a range.
     """
-    bucket = F.least(F.floor(F.col(probability) * buckets), F.lit(buckets - 1)).cast("int")
-    counted = scores.groupBy(*keys, bucket.alias("bucket")).agg(
+    p = F.col(probability).cast("double")
+    usable = scores.where(F.col(label).isNotNull() & p.isNotNull() & ~F.isnan(p))
+    counted = usable.groupBy(*keys, p.alias("score")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg")
     )
+    counted = materialised(counted, "curve")
+    parts = max(1, -(-counted.count() // SCORES_PER_PART))
+    if parts == 1:
+        ranged = counted.withColumn("part", F.lit(0))
+    else:
+        # Ranges of about equal numbers of distinct scores; the bounds need not be exact.
+        at = [k / parts for k in range(1, parts)]
+        bounds = counted.agg(F.percentile_approx("score", at, 10 * parts).alias("b")).first()["b"]
+        ranged = counted.withColumn(
+            "part", -F.size(F.filter(F.array(*[F.lit(float(b)) for b in bounds]), lambda b: b < F.col("score")))
+        )
+    same = [F.col(k).eqNullSafe(F.col(f"{k}__s")) for k in keys] + [F.col("part") == F.col("part__s")]
     whole = Window.partitionBy(*keys)
-    upto = whole.orderBy(F.col("bucket").desc())
-    return counted.select(
+    sums = ranged.groupBy(*keys, "part").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
+    sums = sums.select(
+        *[F.col(k).alias(f"{k}__s") for k in keys],
+        F.col("part").alias("part__s"),
+        (F.sum("p").over(whole.orderBy("part")) - F.col("p")).alias("before_pos"),
+        (F.sum("n").over(whole.orderBy("part")) - F.col("n")).alias("before_neg"),
+        F.sum("p").over(whole).alias("all_pos"),
+        F.sum("n").over(whole).alias("all_neg"),
+    )
+    joined = ranged.join(sums, reduce(Column.__and__, same))
+    upto = Window.partitionBy(*keys, "part").orderBy(F.desc("score"))
+    return joined.select(
         *keys,
-        "bucket",
+        "score",
         "pos",
         "neg",
-        F.sum("pos").over(upto).alias("tp"),
-        F.sum("neg").over(upto).alias("fp"),
-        F.sum("pos").over(whole).alias("all_pos"),
-        F.sum("neg").over(whole).alias("all_neg"),
-        F.row_number().over(upto).alias("step"),
+        (F.col("before_pos") + F.sum("pos").over(upto)).alias("tp"),
+        (F.col("before_neg") + F.sum("neg").over(upto)).alias("fp"),
+        "all_pos",
+        "all_neg",
     )
 
 
@@ -209,10 +256,9 @@ def roc_auc(
     keys: Sequence[str] = ("model",),
     label: str = "label",
     probability: str = "probability",
-    buckets: int = SCORE_BUCKETS,
 ) -> DataFrame:
-    """Area under the ROC curve of the bucketed scores; ties inside a bucket count half."""
-    curve = _curve(scores, keys, label, probability, buckets)
+    """Exact area under the ROC curve; equal scores count half."""
+    curve = _curve(scores, keys, label, probability)
     ahead = F.col("tp") - F.col("pos") / F.lit(2.0)
     area = F.sum(F.col("neg") * ahead)
     pairs = F.max("all_pos").cast("double") * F.max("all_neg")
@@ -224,31 +270,47 @@ def pr_auc(
     keys: Sequence[str] = ("model",),
     label: str = "label",
     probability: str = "probability",
-    buckets: int = SCORE_BUCKETS,
 ) -> DataFrame:
-    """Area under the precision-recall curve (trapezoids, first precision held to recall 0)."""
-    curve = _curve(scores, keys, label, probability, buckets)
-    precision = F.col("tp") / (F.col("tp") + F.col("fp"))
-    points = curve.withColumn("precision", precision)
-    upto = Window.partitionBy(*keys).orderBy("step")
-    previous = F.coalesce(F.lag("precision").over(upto), F.col("precision"))
+    """Area under the precision-recall curve (trapezoids, first precision held to recall 0).
+
+    A slice needs the precision of the score before it, which follows from its own counts.
+    """
+    curve = _curve(scores, keys, label, probability)
+    tp, fp = F.col("tp"), F.col("fp")
+    precision = tp / (tp + fp)
+    tp_before, fp_before = tp - F.col("pos"), fp - F.col("neg")
+    previous = F.coalesce(F.try_divide(tp_before, tp_before + fp_before), precision)
     width = F.try_divide(F.col("pos").cast("double"), F.col("all_pos"))
-    slices = points.select(*keys, (width * (F.col("precision") + previous) / 2).alias("area"))
+    slices = curve.select(*keys, (width * (precision + previous) / 2).alias("area"))
     return slices.groupBy(*keys).agg(F.sum("area").alias("pr_auc"))
 
 
-def leaderboard(trials: DataFrame, metric: str, top: int = 10) -> DataFrame:
-    """The best ``top`` runs of each experiment by one metric, with their rank.
+def leaderboard(trials: DataFrame, metric: str, top: int | None = None) -> DataFrame:
+    """The runs of each experiment by one metric, with their rank; all of them unless ``top``.
 
-    The rank filter lets every task drop all but its own ``top`` rows before the shuffle.
+    Equal values share no rank: the smaller run id comes first. A rank is the number of runs with
+    a better value, from counts per value, plus the place among runs of the same value. With a
+    limit, every task drops all but its own ``top`` runs before the shuffle instead.
     """
-    best = Window.partitionBy("experiment").orderBy(F.col("value").desc(), "run_id")
-    return (
-        trials.where((F.col("metric") == metric) & F.col("value").isNotNull())
-        .withColumn("rank", F.row_number().over(best))
-        .where(F.col("rank") <= top)
-        .select("experiment", "rank", "run_id", "model_family", "value")
+    known = trials.where((F.col("metric") == metric) & F.col("value").isNotNull())
+    columns = ("experiment", "rank", "run_id", "model_family", "value")
+    best = Window.partitionBy("experiment").orderBy(F.col("value").desc())
+    if top is not None:
+        first = F.row_number().over(best.orderBy(F.col("value").desc(), "run_id"))
+        return known.withColumn("rank", first).where(F.col("rank") <= top).select(*columns)
+    counts = known.groupBy("experiment", "value").agg(F.count(F.lit(1)).alias("same"))
+    before = counts.select(
+        F.col("experiment").alias("e"),
+        F.col("value").alias("v"),
+        (F.sum("same").over(best) - F.col("same")).alias("better"),
     )
+    inside = Window.partitionBy("experiment", "value").orderBy("run_id")
+    ranked = (
+        known.withColumn("place", F.row_number().over(inside))
+        .join(before, F.col("experiment").eqNullSafe(F.col("e")) & (F.col("value") == F.col("v")))
+        .withColumn("rank", (F.col("better") + F.col("place")).cast("int"))
+    )
+    return ranked.select(*columns)
 
 
 def best_trial(
@@ -256,22 +318,21 @@ def best_trial(
 ) -> DataFrame:
     """One run per experiment: best by the first metric that has a value, else the latest.
 
-    A single grouped maximum: a run with an earlier metric beats any run without it.
+    A run with an earlier metric beats any run without it; of equals the smallest id, of any
+    type, is taken.
     """
     level = F.lit(None).cast("int")
     for i, name in reversed(list(enumerate(preference))):
         usable = (F.col("metric") == name) & F.col("value").isNotNull()
         level = F.when(usable, F.lit(len(preference) - i)).otherwise(level)
     level = F.coalesce(level, F.lit(0))
-    order = F.struct(
-        level.alias("level"),
-        F.when(level > 0, F.col("value")).alias("value"),
-        F.col("start_time").alias("start_time"),
-        (-F.col("run_id")).alias("tie"),
-    )
-    picked = trials.groupBy("experiment").agg(
-        F.max_by(F.struct("run_id", "model_family", "metric", "value"), order).alias("r"),
-        F.max(level).alias("level"),
+    order = F.struct(level.alias("level"), F.when(level > 0, F.col("value")).alias("value"), "start_time")
+    ordered = trials.withColumn("_order", order)
+    best = ordered.groupBy("experiment").agg(F.max("_order").alias("_best")).withColumnRenamed("experiment", "_e")
+    picked = (
+        ordered.join(best, F.col("experiment").eqNullSafe(F.col("_e")) & F.col("_order").eqNullSafe(F.col("_best")))
+        .groupBy("experiment")
+        .agg(F.min(F.struct("run_id", "model_family", "metric", "value")).alias("r"), F.max("_order.level").alias("level"))
     )
     chosen = F.col("level") > 0
     return picked.select(

@@ -147,6 +147,12 @@ def event_plan(
     )
 
 
+#: Zone in which the drawn days and hours are read.
+ZONE = "UTC"
+#: Events that one task expands.
+ROWS_PER_TASK = 1_000_000
+
+
 def fan_out(plan: DataFrame, count: str = "k", ordinal: str = "i") -> DataFrame:
     """One row per event: ordinals ``1 .. count`` for every row of the plan.
 
@@ -163,7 +169,9 @@ def fan_out(plan: DataFrame, count: str = "k", ordinal: str = "i") -> DataFrame:
     first = F.col("_chunk") * F.col("_size") + 1
     last = F.least(first + F.col("_size") - 1, k)
     # A stated number of partitions: these few rows grow, so none may be merged away.
-    tasks = int(plan.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    events = plan.agg(F.sum(k)).first()[0] or 0
+    least = int(plan.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(least, -(-int(events) // ROWS_PER_TASK))
     spread = chunked.repartition(tasks, F.col(plan.columns[0]), F.col("_chunk"))
     return spread.withColumn(ordinal, F.explode(F.sequence(first, last))).drop("_size", "_chunk")
 
@@ -261,13 +269,14 @@ def reading_events(
     rows = event_days(ids, today, events_per_user, seed).select(
         "n",
         F.floor(u["book"] * n_books).alias("book"),
-        F.make_timestamp_ntz(
+        F.make_timestamp(
             years=F.year(F.date_sub(F.lit(today), F.col("days_ago"))),
             months=F.month(F.date_sub(F.lit(today), F.col("days_ago"))),
             days=F.day(F.date_sub(F.lit(today), F.col("days_ago"))),
             hours=draws.integer(u["hour"], 0, 24),
             mins=draws.integer(u["minute"], 0, 60),
             secs=draws.integer(u["second"], 0, 60),
+            timezone=F.lit(ZONE),
         ).alias("event_ts"),
         progress(u["mix"], u["progress"]).alias("progress_pct"),
         session_minutes(u["session_1"], u["session_2"]).alias("session_minutes"),

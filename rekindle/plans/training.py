@@ -91,7 +91,10 @@ def train_trials(
     ``trials`` holds (experiment, run_id, start_time, model_family, metric, value) rows
     with metrics named ``val_*`` and ``test_*``.
     """
-    split = evaluation.stratified_split(typed(features), key, label)
+    # Written once: every fit below and the transform read it.
+    split = materialised(
+        evaluation.stratified_split(materialised(typed(features), "typed"), key, label), "split"
+    )
     prepared = preparation().fit(split.where(F.col("split") == "train"))
     columns = [key, F.col(label).cast("int").alias("label"), "split", "features"]
     ready = materialised(prepared.transform(split).select(*columns), "prepared")
@@ -136,8 +139,7 @@ def train_trials(
 
 def best_run(search: Search, preference: Sequence[str] = ("val_f1", "val_roc_auc")) -> str:
     """Run id of the best trial; one row reaches the driver."""
-    ranked = search.trials.withColumn("run_id", F.substring_index("run_id", "_", -1).cast("int"))
-    row = evaluation.best_trial(ranked, preference).first()
+    row = evaluation.best_trial(search.trials, preference).first()
     if row is None:
         raise RuntimeError("the experiment has no runs")
-    return f"run_{row.run_id:03d}"
+    return row.run_id

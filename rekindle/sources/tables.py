@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 import warnings
 from collections.abc import Mapping
 from datetime import date, datetime
@@ -23,6 +24,19 @@ _FILLERS = {
 }
 
 
+def _filler(kind: T.DataType) -> Column:
+    """Some value of a type that is not NULL."""
+    if isinstance(kind, T.ArrayType):
+        return F.array().cast(kind)
+    if isinstance(kind, T.MapType):
+        return F.create_map().cast(kind)
+    if isinstance(kind, T.StructType):
+        return F.struct(*[_filler(f.dataType).alias(f.name) for f in kind.fields]).cast(kind)
+    if isinstance(kind, T.BinaryType):
+        return F.lit(b"")
+    return F.lit(_FILLERS.get(kind.typeName(), 0)).cast(kind)
+
+
 def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Row count of every named table in one job; each branch is a map-side count."""
     counted = [
@@ -48,7 +62,7 @@ def enforce_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
             return value.alias(field.name)
         guard = F.raise_error(F.lit(f"NULL in NOT NULL column {field.name}")).cast(field.dataType)
         # Never reached after the guard; a literal last makes the column NOT NULL for Catalyst.
-        last = F.lit(_FILLERS.get(field.dataType.typeName(), 0)).cast(field.dataType)
+        last = _filler(field.dataType)
         return F.coalesce(value, guard, last).alias(field.name)
 
     return df.select(*[checked(f) for f in schema.fields])
@@ -96,6 +110,11 @@ def overwrite_table(
     return df.sparkSession.table(name)
 
 
+def own_name(what: str) -> str:
+    """A table name that no other run uses."""
+    return f"rekindle_{what}_{uuid.uuid4().hex[:12]}"
+
+
 def materialised(df: DataFrame, name: str) -> DataFrame:
     """Written to the shared scratch folder and read back.
 
@@ -113,13 +132,14 @@ def roundtrip(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     One result row: rows written, rows read, and whether the per-row digests agree.
     """
     spark = df.sparkSession
+    if spark.catalog.tableExists(name):
+        raise ValueError(f"table {name} exists already; a round trip needs a name of its own")
     source = f"{name}_source"
     df.createOrReplaceTempView(source)
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
     location = f" LOCATION '{path}'" if path else ""
     digest = "count(*) AS n, coalesce(sum(cast(xxhash64(*) AS decimal(38,0))), 0) AS digest"
     try:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
         spark.sql(f"CREATE TABLE {name} ({columns}) USING PARQUET{location}")
         spark.sql(f"INSERT INTO {name} SELECT * FROM {source}")
         sent = spark.sql(f"SELECT {digest} FROM {source}").first()

@@ -80,7 +80,6 @@ def subscriptions(spark: SparkSession, root: str) -> DataFrame:
     start = F.col("o_orderdate").cast("date")
     return (
         raw(spark, root, "orders")
-        .where(F.col("o_orderkey") % 10 == 0)
         .select(
             F.col("o_custkey").alias("user_id"),
             start.alias("start_date"),

@@ -119,3 +119,43 @@ def test_champion_challenger_picks_by_metric(frame):
     for metric in ("f1", "log_loss"):
         winners = {r.model: r.winner for r in evaluation.champion_challenger(scores, metric).collect()}
         assert winners == {"a": False, "b": True}
+
+
+def test_rare_positives_rank_perfectly(spark):
+    """Scores far below one another's usual spacing are still told apart, in any number of parts."""
+    rows = [("m", 1 if k < 100 else 0, 0.001 - k * 1e-7) for k in range(2000)]
+    scores = spark.createDataFrame(rows, "model string, label int, probability double")
+    for size in (50, 10**6):
+        evaluation.SCORES_PER_PART, before = size, evaluation.SCORES_PER_PART
+        try:
+            assert evaluation.roc_auc(scores).first().roc_auc == 1.0
+            assert abs(evaluation.pr_auc(scores).first().pr_auc - 1.0) < 1e-9
+        finally:
+            evaluation.SCORES_PER_PART = before
+
+
+def test_missing_scores_and_labels_count_nowhere(spark):
+    rows = [("m", 1, 0.9), ("m", 0, 0.1), ("m", 0, None), ("m", None, 0.2)]
+    scores = spark.createDataFrame(rows, "model string, label int, probability double")
+    row = evaluation.metrics(scores).first()
+    assert (row.n, row.unscored, row.accuracy) == (2, 2, 1.0) and row.log_loss < 0.11
+    assert evaluation.roc_auc(scores).first().roc_auc == 1.0
+
+
+def test_large_values_keep_their_spread(spark):
+    table = spark.range(5).select((F.col("id") + 1_700_000_000_000).alias("x"))
+    assert abs(evaluation.profile_columns(table, ["x"]).first().stddev - 1.5811388) < 1e-6
+
+
+def test_split_and_best_trial_take_text_keys(spark):
+    keys = spark.range(500).select(F.format_string("u_%06d", "id").alias("user_id"), (F.col("id") % 2).alias("y"))
+    counts = evaluation.stratified_split(keys, "user_id", "y").groupBy("y", "split").count().collect()
+    assert sorted((r.y, r.split, r["count"]) for r in counts) == [
+        (y, s, n) for y in (0, 1) for s, n in (("test", 50), ("train", 150), ("validation", 50))
+    ]
+    rows = [("e", "run_b", 1, "f", "val_f1_score", 0.5), ("e", "run_a", 1, "f", "val_f1_score", 0.5)]
+    trials = spark.createDataFrame(
+        rows, "experiment string, run_id string, start_time int, model_family string, metric string, value double"
+    )
+    assert evaluation.best_trial(trials).first().run_id == "run_a"
+    assert evaluation.leaderboard(trials, "val_f1_score").count() == 2

@@ -130,3 +130,12 @@ def test_relative_difference(frame):
     df = frame([(10.0, 12.0), (-4.0, -5.0), (0.0, 1.0)], "a double, b double")
     got = [r[0] for r in df.select(scalars.relative_difference(F.col("a"), F.col("b"))).collect()]
     assert got[:2] == [0.2, 0.25] and got[2] is None and not math.isnan(got[0])
+
+
+def test_roundtrip_leaves_a_standing_table_alone(spark):
+    name = tables.own_name("standing")
+    spark.range(3).write.saveAsTable(name)
+    with pytest.raises(ValueError, match="exists already"):
+        tables.roundtrip(spark.range(1).toDF("id"), name)
+    assert spark.table(name).count() == 3
+    spark.sql(f"DROP TABLE {name}")

@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from rekindle.llm.common import ragged_take, written
 
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 16 << 20
 #: Words of one block and hash group that make about one array row; also sizes the groups.
 WORDS_PER_GROUP = 200_000
 MARKS = ".,;:!?"
@@ -359,7 +359,7 @@ def decode(encoded: DataFrame, path: str, ids_col: str = "ids", out: str = "deco
         for batch in batches:
             column = batch.column(batch.schema.get_field_index(ids_col))
             counts = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False) // 4
-            for at, size in _slices(counts, 4_000_000):
+            for at, size in _slices(counts, 1_000_000):
                 part = batch.slice(at, size)
                 data = column.slice(at, size).to_pylist()
                 ends = np.concatenate(([0], np.cumsum(counts[at : at + size])))

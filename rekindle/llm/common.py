@@ -10,6 +10,8 @@ from rekindle.session import scratch_path
 
 #: A word is a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Indexes that ``ragged_take`` handles at a time.
+STEP = 1 << 18
 
 
 def table(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -32,11 +34,17 @@ def word_count(text: Column) -> Column:
 def ragged_take(starts: np.ndarray, lengths: np.ndarray, values: np.ndarray, index: np.ndarray):
     """Concatenate ``values[starts[i] : starts[i] + lengths[i]]`` for each i of ``index``.
 
-    Returns the values and the length each index contributed.
+    Returns the values and the length each index contributed. Positions are made for some indexes
+    at a time, so that little more than the result is held.
     """
     each = lengths[index]
-    ends = np.cumsum(each)
-    total = int(ends[-1]) if len(ends) else 0
-    position = np.arange(total, dtype=np.int64)
-    position += np.repeat(starts[index] - (ends - each), each)
-    return values[position], each
+    out = np.empty(int(each.sum()), values.dtype)
+    done = 0
+    for at in range(0, len(index), STEP):
+        own, n = index[at : at + STEP], each[at : at + STEP]
+        ends = np.cumsum(n)
+        position = np.arange(ends[-1], dtype=np.int64)
+        position += np.repeat(starts[own] - (ends - n), n)
+        out[done : done + len(position)] = values[position]
+        done += len(position)
+    return out, each

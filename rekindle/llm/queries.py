@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rekindle.llm import ann, bpe, chat, mixing, quality, simhash, token_files, toxicity, warc
+from rekindle.llm import ann, bpe, chat, lm, mixing, quality, simhash, token_files, toxicity, warc
 from rekindle.llm.common import table, written
 from rekindle.session import scratch_path
 
@@ -49,6 +49,10 @@ def op5_hash_forest(spark: SparkSession, root: str) -> DataFrame:
     return ann.nearest(table(spark, root, "embeddings"), F.col("id") % 100 == 0)
 
 
+def op6_lm_scoring(spark: SparkSession, root: str) -> DataFrame:
+    return lm.score(table(spark, root, "documents"))
+
+
 def op7_bpe(spark: SparkSession, root: str) -> DataFrame:
     return bpe.digests(table(spark, root, "documents"), tokenizer_path())
 
@@ -96,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_toxicity,
         op4_chat,
         op5_hash_forest,
+        op6_lm_scoring,
         op7_bpe,
         op8_mixing,
         op9_token_files,
@@ -103,4 +108,28 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLES: dict[str, str] = {}
+_WORDS = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
+
+ORACLES: dict[str, str] = {
+    "op2_quality": rf"""
+WITH w AS (SELECT doc_id, coalesce(text, '') AS text, {_WORDS} AS words FROM documents),
+-- every 3-word window with its place
+win AS (SELECT doc_id, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS win
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(1, len(words) - 1))) AS i FROM w)),
+twice AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, win) AS n FROM win) WHERE n > 1),
+covered AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM twice, (VALUES (0), (1), (2)) t(k) GROUP BY doc_id),
+lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM w),
+dup AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n FROM lines
+  WHERE regexp_matches(line, '[^ 	-]') GROUP BY doc_id),
+stop AS (SELECT doc_id, count(*) AS n FROM (SELECT doc_id, lower(unnest(words)) AS word FROM w)
+  WHERE regexp_matches(word, '^({'|'.join(sorted(set(quality.STOP_WORDS.split())))})([.,;:!?].*)?$') GROUP BY doc_id),
+m AS (SELECT w.doc_id, len(words) AS n_words, len(array_to_string(words, '')) AS word_chars,
+  len(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(dup.n, 0) AS n_dup_lines,
+  coalesce(n_lines, 0) AS n_lines, coalesce(covered.n, 0) AS n_repeat_words, coalesce(stop.n, 0) AS n_stop
+  FROM w LEFT JOIN covered USING (doc_id) LEFT JOIN dup USING (doc_id) LEFT JOIN stop USING (doc_id)),
+j AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
+  n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed,
+  NOT base_failed AND word_chars >= 2.0 * n_words AND word_chars <= 12.0 * n_words AND n_symbols <= 0.1 * n_words
+  AND n_stop >= 0.03 * n_words AND n_dup_lines <= 0.6 * n_lines AS kept FROM j""",
+}

@@ -153,7 +153,8 @@ def _around(width: int, k: int, component: str):
             for row, q in zip(queries.itertuples(index=False), vectors(queries["q_vec"]), strict=True):
                 low, high = np.searchsorted(rank, [row.q_rank - width, row.q_rank + width + 1])
                 ok = np.flatnonzero(tree[low:high] == row.q_tree) + low
-                score = np.sqrt(((points[ok] - q) ** 2).sum(axis=1))
+                # component after component, as a plain loop adds them up
+                score = np.sqrt(np.ascontiguousarray(((points[ok] - q) ** 2).T).sum(axis=0))
                 best = np.argsort(score, kind="stable")
                 if len(best) > k + 1:
                     # all that are as near as the last one stay

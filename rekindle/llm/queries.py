@@ -120,7 +120,8 @@ twice AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, w
 covered AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM twice, (VALUES (0), (1), (2)) t(k) GROUP BY doc_id),
 lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM w),
 dup AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n FROM lines
-  WHERE regexp_matches(line, '[^ 	-]') GROUP BY doc_id),
+  WHERE regexp_matches(line, '[^ 	-
+]') GROUP BY doc_id),
 stop AS (SELECT doc_id, count(*) AS n FROM (SELECT doc_id, lower(unnest(words)) AS word FROM w)
   WHERE regexp_matches(word, '^({'|'.join(sorted(set(quality.STOP_WORDS.split())))})([.,;:!?].*)?$') GROUP BY doc_id),
 m AS (SELECT w.doc_id, len(words) AS n_words, len(array_to_string(words, '')) AS word_chars,
@@ -132,4 +133,21 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
   n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed,
   NOT base_failed AND word_chars >= 2.0 * n_words AND word_chars <= 12.0 * n_words AND n_symbols <= 0.1 * n_words
   AND n_stop >= 0.03 * n_words AND n_dup_lines <= 0.6 * n_lines AS kept FROM j""",
+    "op10_warc": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, h, sha1(h) AS x, max(page_id) OVER (PARTITION BY h) AS top FROM p)
+SELECT page_id, octet_length(encode(h))::BIGINT AS payload_bytes,
+  -- base 32, five hex digits being four letters
+  array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (((('0x' || substr(x, 5 * (i // 4)::INTEGER + 1, 5))::INTEGER
+    >> (15 - 5 * (i % 4))::INTEGER) & 31))::INTEGER, 1) FOR i IN range(0, 32)], '') AS payload_digest,
+  CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> top THEN top END AS refers_to FROM d""",
+    # Exact search: on a few hundred vectors the forest returns every one as a candidate.
+    "op5_hash_forest": """
+WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings),
+d AS (SELECT q.vec_id AS query_id, c.vec_id, 
+    sqrt(list_sum([(x[1] - x[2]) * (x[1] - x[2]) FOR x IN list_zip(q.v, c.v)])) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS rank FROM d) WHERE rank <= 10""",
 }

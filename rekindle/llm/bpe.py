@@ -33,8 +33,8 @@ from pyspark.sql import types as T
 from rekindle.llm.common import ragged_take, written
 
 BLOCK_BYTES = 16 << 20
-#: Words of one block and hash group that make about one array row; also sizes the groups.
-WORDS_PER_GROUP = 200_000
+#: Text per hash group of the word table.
+GROUP_BYTES = 16 << 20
 MARKS = ".,;:!?"
 
 
@@ -184,7 +184,7 @@ def _split(docs: DataFrame, groups: int) -> DataFrame:
             T.StructField("ids", T.ArrayType(id_type)),
             T.StructField("counts", T.BinaryType()),
             T.StructField("sequence", T.BinaryType()),
-            T.StructField("words", T.StringType()),
+            T.StructField("words", T.BinaryType()),
         ]
     )
 
@@ -218,8 +218,9 @@ def _split(docs: DataFrame, groups: int) -> DataFrame:
                     {
                         "block": name,
                         "part": int(g),
-                        "sequence": pack(own),
-                        "words": "\n".join([words[k] for k in own]),
+                        # rising numbers: their steps are small
+                        "sequence": pack(np.diff(own, prepend=0)),
+                        "words": zlib.compress("\n".join([words[k] for k in own]).encode(), 1),
                     }
                 )
             yield pa.RecordBatch.from_pylist(rows, schema=target)
@@ -243,7 +244,7 @@ def _encode_group(path: str):
     """Encodes each distinct word of a hash group once; ids go back to every block that has it."""
 
     def run(group: pa.Table) -> pa.Table:
-        lists = [w.split("\n") for w in group["words"].to_pylist()]
+        lists = [zlib.decompress(w).decode().split("\n") for w in group["words"].to_pylist()]
         number: dict[str, int] = {}
         codes = [np.fromiter((number.setdefault(w, len(number)) for w in x), np.int64, len(x)) for x in lists]
         ids, lengths = encode_words(path, list(number))
@@ -253,8 +254,8 @@ def _encode_group(path: str):
             {
                 "block": group["block"],
                 "numbers": group["sequence"],
-                "ids": pa.array([x.astype("<u4").tobytes() for x, _ in back], pa.binary()),
-                "lengths": pa.array([n.astype("<u4").tobytes() for _, n in back], pa.binary()),
+                "ids": pa.array([pack(x) for x, _ in back], pa.binary()),
+                "lengths": pa.array([pack(n) for _, n in back], pa.binary()),
             }
         )
 
@@ -262,11 +263,12 @@ def _encode_group(path: str):
 
 
 def _join_back(block: pa.Table, table: pa.Table) -> pa.Table:
-    numbers = [unpack(x) for x in table["numbers"].to_pylist()]
-    read = lambda name: [np.frombuffer(x, "<u4") for x in table[name].to_pylist()]
-    number = np.concatenate(numbers) if numbers else np.zeros(0, np.int32)
-    length = np.concatenate(read("lengths") or [np.zeros(0, np.uint32)]).astype(np.int64)
-    ids = np.concatenate(read("ids") or [np.zeros(0, np.uint32)])
+    def read(name: str) -> list[np.ndarray]:
+        return [np.zeros(0, np.int32), *(unpack(x) for x in table[name].to_pylist())]
+
+    number = np.concatenate([np.cumsum(x) for x in read("numbers")])
+    length = np.concatenate(read("lengths")).astype(np.int64)
+    ids = np.concatenate(read("ids"))
     starts, lengths = np.zeros(len(number), np.int64), np.zeros(len(number), np.int64)
     starts[number], lengths[number] = np.cumsum(length) - length, length
     names, values = [], []
@@ -293,7 +295,7 @@ def encode(
     """Id and ``ids``: the token ids as little-endian unsigned 32-bit numbers.
 
     ``groups`` is the number of hash groups of the word table; by default it follows from the
-    number of distinct words, estimated over all blocks.
+    size of all texts.
     """
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     groups = groups or _group_count(slim)
@@ -317,10 +319,9 @@ def encode(
 
 
 def _group_count(slim: DataFrame) -> int:
-    """From the number of distinct words: about ``WORDS_PER_GROUP`` in each group."""
+    """From the size of all texts: distinct words grow more slowly than text."""
     size = slim.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    # Distinct words grow more slowly than text: no group gets more than a third of this.
-    return max(8, -(-size // (8 * WORDS_PER_GROUP)))
+    return max(8, -(-size // GROUP_BYTES))
 
 
 def pieces(spark: SparkSession, path: str) -> DataFrame:

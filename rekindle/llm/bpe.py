@@ -35,6 +35,8 @@ from rekindle.llm.common import ragged_take, written
 BLOCK_BYTES = 16 << 20
 #: Text per hash group of the word table.
 GROUP_BYTES = 16 << 20
+#: Text that is cut into words at a time.
+CUT_BYTES = 2 << 20
 MARKS = ".,;:!?"
 
 
@@ -113,11 +115,23 @@ def encode_chunks(path: str, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def chunks(texts: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray]:
-    """Numbers of white-space separated chunks of all texts, the distinct chunks, chunks per text."""
-    split = pc.ascii_split_whitespace(pc.fill_null(texts, "").cast(pa.large_string()))
-    counts = pc.list_value_length(split).to_numpy(zero_copy_only=False)
-    coded = split.flatten().dictionary_encode()
-    return coded.indices.to_numpy(), coded.dictionary.to_pylist(), counts
+    """Numbers of white-space separated chunks of all texts, the distinct chunks, chunks per text.
+
+    Texts are cut some at a time: what Arrow holds meanwhile is many times their size.
+    """
+    number: dict[str, int] = {}
+    index, counts = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    for at, size in _slices(sizes, CUT_BYTES):
+        split = pc.ascii_split_whitespace(pc.fill_null(texts.slice(at, size), "").cast(pa.large_string()))
+        counts.append(pc.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64))
+        coded = split.flatten().dictionary_encode()
+        own = coded.dictionary.to_pylist()
+        numbers = np.fromiter((number.setdefault(w, len(number)) for w in own), np.int32, len(own))
+        index.append(numbers[coded.indices.to_numpy()])
+        del split, coded, own
+    pa.default_memory_pool().release_unused()
+    return np.concatenate(index), list(number), np.concatenate(counts)
 
 
 def subwords(chunk: str) -> list[str]:
@@ -262,38 +276,64 @@ def _encode_group(path: str):
     return run
 
 
-def _join_back(block: pa.Table, table: pa.Table) -> pa.Table:
-    def read(name: str) -> list[np.ndarray]:
-        return [np.zeros(0, np.int32), *(unpack(x) for x in table[name].to_pylist())]
-
-    number = np.concatenate([np.cumsum(x) for x in read("numbers")])
-    length = np.concatenate(read("lengths")).astype(np.int64)
-    ids = np.concatenate(read("ids"))
-    starts, lengths = np.zeros(len(number), np.int64), np.zeros(len(number), np.int64)
-    starts[number], lengths[number] = np.cumsum(length) - length, length
-    names, values = [], []
-    for k in range(block.num_rows):
-        sequence = unpack(block["sequence"][k].as_py())
-        counts = unpack(block["counts"][k].as_py())
-        found, each = ragged_take(starts, lengths, ids, sequence)
-        ends = np.concatenate(([0], np.cumsum(each)))[np.concatenate(([0], np.cumsum(counts)))]
-        data = found.astype("<u4").tobytes()
-        offsets = pa.array(ends * 4, pa.int64()).buffers()[1]
-        values.append(
-            pa.Array.from_buffers(
-                pa.large_binary(), len(counts), [None, offsets, pa.py_buffer(data)]
-            ).cast(pa.binary())
-        )
-        own = block["ids"].slice(k, 1).combine_chunks()
-        names.append((own.chunk(0) if isinstance(own, pa.ChunkedArray) else own).flatten())
-    return pa.table({"id": pa.chunked_array(names), "ids": pa.chunked_array(values, pa.binary())})
+def _spell(ids: np.ndarray, counts: np.ndarray, table: pa.Array) -> list[pa.Array]:
+    """Texts of documents of ``counts`` ids: each id joined to its piece, pieces put together."""
+    out, done = [pa.array([], pa.string())], 0
+    for at, size in _slices(counts, 500_000):
+        ends = np.concatenate(([0], np.cumsum(counts[at : at + size])))
+        own = table.take(pa.array(ids[done : done + ends[-1]]))
+        out.append(pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), own), " "))
+        done += int(ends[-1])
+    return out
+
+
+def _join_back(names):
+    """Ids of a block's documents; also their texts where ``names`` holds the pieces."""
+
+    def run(block: pa.Table, table: pa.Table) -> pa.Table:
+        def read(name: str) -> list[np.ndarray]:
+            return [np.zeros(0, np.int32), *(unpack(x) for x in table[name].to_pylist())]
+
+        number = np.concatenate([np.cumsum(x) for x in read("numbers")])
+        length = np.concatenate(read("lengths")).astype(np.int64)
+        ids = np.concatenate(read("ids"))
+        starts, lengths = np.zeros(len(number), np.int64), np.zeros(len(number), np.int64)
+        starts[number], lengths[number] = np.cumsum(length) - length, length
+        pieces = pa.array(names.value, pa.string()) if names else None
+        out: dict[str, list] = {"id": [], "ids": [], "decoded": []}
+        for k in range(block.num_rows):
+            counts = unpack(block["counts"][k].as_py())
+            found, each = ragged_take(starts, lengths, ids, unpack(block["sequence"][k].as_py()))
+            ends = np.concatenate(([0], np.cumsum(each)))[np.concatenate(([0], np.cumsum(counts)))]
+            data = np.ascontiguousarray(found, "<i4")
+            buffers = [None, pa.array(ends * 4, pa.int32()).buffers()[1], pa.py_buffer(data)]
+            out["ids"].append(pa.Array.from_buffers(pa.binary(), len(counts), buffers))
+            own = block["ids"].slice(k, 1).combine_chunks()
+            out["id"].append((own.chunk(0) if isinstance(own, pa.ChunkedArray) else own).flatten())
+            if names:
+                out["decoded"] += _spell(found, np.diff(ends), pieces)
+        columns = {"id": pa.chunked_array(out["id"]), "ids": pa.chunked_array(out["ids"], pa.binary())}
+        if names:
+            columns["decoded"] = pa.chunked_array(out["decoded"], pa.string())
+        pa.default_memory_pool().release_unused()
+        return pa.table(columns)
+
+    return run
 
 
 def encode(
-    docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", groups: int | None = None
+    docs: DataFrame,
+    path: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    groups: int | None = None,
+    decoded: bool = False,
 ) -> DataFrame:
     """Id and ``ids``: the token ids as little-endian unsigned 32-bit numbers.
 
+    With ``decoded`` also the text that the ids stand for, as ``decode`` adds it, made by the
+    task that has the ids at hand.
+
     ``groups`` is the number of hash groups of the word table; by default it follows from the
     size of all texts.
     """
@@ -307,13 +347,14 @@ def encode(
         .groupBy("part")
         .applyInArrow(_encode_group(path), "block string, numbers binary, ids binary, lengths binary")
     )
-    out = T.StructType(
-        [T.StructField("id", docs.schema[id_col].dataType), T.StructField("ids", T.BinaryType())]
-    )
+    fields = [T.StructField("id", docs.schema[id_col].dataType), T.StructField("ids", T.BinaryType())]
+    if decoded:
+        fields.append(T.StructField("decoded", T.StringType()))
+    names = _shared_pieces(docs.sparkSession, path) if decoded else None
     return (
         blocks.groupBy("block")
         .cogroup(table.groupBy("block"))
-        .applyInArrow(_join_back, out)
+        .applyInArrow(_join_back(names), T.StructType(fields))
         .withColumnRenamed("id", id_col)
     )
 
@@ -343,16 +384,20 @@ def _slices(counts: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
         yield start, len(counts) - start
 
 
-def decode(encoded: DataFrame, path: str, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
-    """Adds the text of each ``ids``, special tokens kept, as the library's ``decode`` gives it."""
+def _shared_pieces(spark: SparkSession, path: str):
+    """The pieces by id, sent to every task: as many as the vocabulary has."""
     if json.loads(tokenizer(path).to_str()).get("decoder"):
         raise ValueError("only tokenizers without a decoder: pieces joined by a space")
-    rows = pieces(encoded.sparkSession, path).orderBy("token").collect()  # the vocabulary
-    size = rows[-1]["token"] + 1
-    names: list[str | None] = [None] * size
+    rows = pieces(spark, path).orderBy("token").collect()
+    names: list[str | None] = [None] * (rows[-1]["token"] + 1)
     for row in rows:
         names[row["token"]] = row["piece"]
-    shared = encoded.sparkSession.sparkContext.broadcast(names)
+    return spark.sparkContext.broadcast(names)
+
+
+def decode(encoded: DataFrame, path: str, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
+    """Adds the text of each ``ids``, special tokens kept, as the library's ``decode`` gives it."""
+    shared = _shared_pieces(encoded.sparkSession, path)
     schema = T.StructType([*encoded.schema.fields, T.StructField(out, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -360,21 +405,17 @@ def decode(encoded: DataFrame, path: str, ids_col: str = "ids", out: str = "deco
         for batch in batches:
             column = batch.column(batch.schema.get_field_index(ids_col))
             counts = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False) // 4
-            for at, size in _slices(counts, 1_000_000):
-                part = batch.slice(at, size)
-                data = column.slice(at, size).to_pylist()
-                ends = np.concatenate(([0], np.cumsum(counts[at : at + size])))
-                ids = np.frombuffer(b"".join(x or b"" for x in data), "<u4")
-                found = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), table.take(pa.array(ids)))
-                text = pc.binary_join(found, " ")
-                yield pa.RecordBatch.from_arrays([*part.columns, text], names=[*part.schema.names, out])
+            ids = np.frombuffer(b"".join(x or b"" for x in column.to_pylist()), "<u4")
+            text = pa.chunked_array(_spell(ids, counts, table), pa.string()).combine_chunks()
+            text = text.chunk(0) if isinstance(text, pa.ChunkedArray) else text
+            yield pa.RecordBatch.from_arrays([*batch.columns, text], names=[*batch.schema.names, out])
 
     return encoded.mapInArrow(run, schema)
 
 
 def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document the number of ids and digests of ids and decoded text."""
-    both = decode(encode(docs, path, id_col, text_col), path)
+    both = encode(docs, path, id_col, text_col, decoded=True)
 
     def sha(value: Column) -> Column:
         return F.sha2(value, 256)

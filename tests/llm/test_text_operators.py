@@ -242,5 +242,11 @@ def test_bpe_matches_the_library(docs, given, monkeypatch):
     assert Counter(map(tuple, bpe.digests(every, tokenizer_path()).collect())) == expected
 
 
+def test_bpe_decode_alone(given):
+    path = tokenizer_path()
+    both = bpe.decode(bpe.encode(given, path, decoded=True), path, out="again")
+    assert both.filter("decoded = again").count() == given.count()
+
+
 def test_bpe_empty(docs):
     assert bpe.digests(docs.limit(0), tokenizer_path()).count() == 0

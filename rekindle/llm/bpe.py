@@ -26,13 +26,14 @@ from unicodedata import is_normalized
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rekindle.llm.common import ragged_take, written
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 24 << 20
 #: Text per hash group of the word table.
 GROUP_BYTES = 16 << 20
 #: Text that is cut into words at a time.
@@ -175,11 +176,11 @@ def words_of(texts: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray]:
 def pack(values: np.ndarray) -> bytes:
     """Numbers below 2**24 as compressed byte planes."""
     planes = values.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3].T
-    return zlib.compress(np.ascontiguousarray(planes).tobytes(), 1)
+    return zstandard.ZstdCompressor(level=3).compress(np.ascontiguousarray(planes).tobytes())
 
 
 def unpack(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(3, -1).astype(np.int32)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(3, -1).astype(np.int32)
     return planes[0] | planes[1] << 8 | planes[2] << 16
 
 
@@ -223,6 +224,7 @@ def _split(docs: DataFrame, groups: int) -> DataFrame:
                     "sequence": pack(sequence),
                 }
             ]
+            squeeze = zstandard.ZstdCompressor(level=6)
             part = _groups(words, groups)
             order = np.argsort(part, kind="stable")
             cuts = np.searchsorted(part[order], np.arange(groups + 1))
@@ -234,7 +236,7 @@ def _split(docs: DataFrame, groups: int) -> DataFrame:
                         "part": int(g),
                         # rising numbers: their steps are small
                         "sequence": pack(np.diff(own, prepend=0)),
-                        "words": zlib.compress("\n".join([words[k] for k in own]).encode(), 1),
+                        "words": squeeze.compress("\n".join([words[k] for k in own]).encode()),
                     }
                 )
             yield pa.RecordBatch.from_pylist(rows, schema=target)
@@ -258,7 +260,8 @@ def _encode_group(path: str):
     """Encodes each distinct word of a hash group once; ids go back to every block that has it."""
 
     def run(group: pa.Table) -> pa.Table:
-        lists = [zlib.decompress(w).decode().split("\n") for w in group["words"].to_pylist()]
+        read = zstandard.ZstdDecompressor()
+        lists = [read.decompress(w).decode().split("\n") for w in group["words"].to_pylist()]
         number: dict[str, int] = {}
         codes = [np.fromiter((number.setdefault(w, len(number)) for w in x), np.int64, len(x)) for x in lists]
         ids, lengths = encode_words(path, list(number))

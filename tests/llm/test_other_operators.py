@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from rekindle.llm import ann, bpe, chat, mixing, token_files, warc
+from rekindle.llm import ann, bpe, chat, mixing, quality, token_files, warc
 from rekindle.llm.queries import QUERIES, tokenizer_path
 from rekindle.session import scratch_path
 
@@ -223,7 +223,7 @@ def test_pipeline_stages(spark):
         gone = {r.doc_id for r in before.collect()} - {r.doc_id for r in docs.collect()}
         if k == 1:
             # well made documents stay unless the base rules reject them
-            judged = {r.doc_id for r in before.filter(F.length("text") < 250).collect()}
+            judged = {r.doc_id for r in quality.assess(before).filter("base_failed").collect()}
             assert all(labels[i].quality == 0 for i in gone - judged if i in labels)
     total = corpus_pipeline.run(spark, SMALL)
     assert total.count() == docs.count() and set(total.columns) >= {"doc_id", "n_tokens"}

@@ -34,15 +34,19 @@ def local_session(cores: int | str = 8, **conf: str) -> SparkSession:
 def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for written intermediates and stream checkpoints.
 
-    The cluster names it in ``spark.checkpoint.dir``. Where that is unset, a local
-    master gets a temporary folder and any other master the warehouse folder, which
-    every executor can reach.
+    The cluster names it in ``spark.checkpoint.dir``. Where that is unset, a driver that is its
+    own executor gets a temporary folder; executors elsewhere could not see one, so any other
+    master is refused.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared
-    if not spark.sparkContext.master.startswith("local"):
-        return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError(
+            "executors share no folder that is named: set spark.checkpoint.dir to a path on a "
+            "file system that all of them reach"
+        )
     app = spark.sparkContext.applicationId
     if app not in _local_scratch:
         _local_scratch[app] = tempfile.mkdtemp(prefix="run-scratch-")

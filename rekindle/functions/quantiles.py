@@ -9,6 +9,8 @@ from operator import add, or_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rekindle.sources.tables import materialised
+
 ACCURACY = 10_000
 # Half width of the bracket around a percentile, in shares of the rows, and the number
 # of equal-width buckets each bracket is cut into.
@@ -61,13 +63,22 @@ def exact(
     1. a sketch brackets each percentile (and yields the other, numeric, aggregates);
     2. counts per order-preserving bucket, combined on the map side to at most
        ``BUCKETS`` rows per bracket, tell in which bucket each wanted rank lies;
-    3. only the rows of those buckets are ranked, each bucket by itself.
+    3. only the values of those buckets are ranked, each bucket by itself.
+
+    Passes 2 and 3 run on distinct values with counts. A bucket is a task's work in pass 3: with
+    a long tail it may hold the distinct values of two margins, 0.1 % of a group.
 
     The sketch only decides how even the buckets are; the result does not depend on it.
     """
     extra = dict(aggregates or {})
     rows = df.withColumn("_v", F.col(value).cast("double"))
-    v, needed = F.col("_v"), rows.select(*keys, "_v")
+    v = F.col("_v")
+    # Distinct values with their counts, combined on the map side and written once: what the
+    # passes below join and shuffle does not grow with the rows of a hot group.
+    needed = materialised(
+        rows.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_w")), "quantile-values"
+    )
+    weight = F.coalesce(F.sum(F.when(v.isNotNull(), F.col("_w"))), F.lit(0))
     cuts = [c for p in probs for c in (max(0.0, p - MARGIN), min(1.0, p + MARGIN))]
     edges = [f"_edge_{i}" for i in range(len(cuts))]
     stats = rows.groupBy(*keys).agg(
@@ -79,7 +90,9 @@ def exact(
     )
     if not keys:
         # An empty table still has its one global row: a NULL value keeps it alive.
-        nothing = df.sparkSession.range(1).select(F.lit(None).cast("double").alias("_v"))
+        nothing = df.sparkSession.range(1).select(
+            F.lit(None).cast("double").alias("_v"), F.lit(0).cast("long").alias("_w")
+        )
         needed = needed.union(nothing)
     carried = [F.any_value(c).alias(c) for c in (*edges, *extra)]
 
@@ -87,7 +100,7 @@ def exact(
     counts = (
         _per_group(needed, stats, keys)
         .groupBy(*keys, _bucket(v, edges).alias("_b"))
-        .agg(F.count("_v").alias("_n"), *carried)
+        .agg(weight.alias("_n"), *carried)
     )
     group = Window.partitionBy(*keys)
     upto = group.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
@@ -121,7 +134,7 @@ def exact(
         .where(F.col("_start").isNotNull() | v.isNull())
         .groupBy(*keys, "_start", "_v")
         .agg(
-            F.count("_v").alias("_n"),
+            weight.alias("_n"),
             F.any_value("_total").alias("_total"),
             *[F.any_value(n).alias(n) for n in extra],
         )

@@ -12,6 +12,7 @@ from rekindle.functions import payload_json
 from rekindle.functions.scalars import relative_difference
 from rekindle.operators import aggregates
 from rekindle.operators.projections import require_column
+from rekindle.sources.tables import materialised
 
 DRIFT_STATISTICS = ("mean", "stddev", "p50", "p95")
 
@@ -42,7 +43,8 @@ def latency(log: DataFrame, exact: bool = False) -> DataFrame:
 
 def prediction_stats(log: DataFrame, exact: bool = False) -> DataFrame:
     """Count, mean, range and median of all predictions returned."""
-    values = payload_json.predictions(log, ())
+    # Written once: the passes of an exact percentile read values, not JSON.
+    values = materialised(payload_json.predictions(log, ()), "predictions")
     p = F.col("prediction")
     plain = {"n": F.count(F.lit(1)), "mean": F.avg(p), "min": F.min(p), "max": F.max(p)}
     return aggregates.with_percentiles(values, [], "prediction", plain, [0.5], ["p50"], exact)
@@ -59,8 +61,10 @@ def _compare(values: DataFrame, threshold: float, exact: bool) -> DataFrame:
     """Per feature and statistic: training, production, relative difference, flag.
 
     Both sides are one tagged table, summarised in one grouping and laid side by side by
-    conditional aggregates, so nothing is joined across.
+    conditional aggregates, so nothing is joined across. The values are written once, so that
+    no later pass parses a request again.
     """
+    values = materialised(values, "drift-values")
     per_side = aggregates.column_summary(values, "value", ["feature", "source"], exact)
     long = per_side.select(
         "feature",

@@ -58,6 +58,8 @@ def tokenizer(path: str):
 
 def _plain(word: str) -> bool:
     """Only letters that the tokenizer's normaliser leaves alone: one piece run for the model."""
+    if word.isascii():
+        return word.isalpha() and word.islower()
     return word.isalpha() and word == word.lower() and is_normalized("NFC", word)
 
 

@@ -282,8 +282,7 @@ def read_token_files(spark: SparkSession, out: str) -> DataFrame:
     schema = T.StructType(
         [
             T.StructField("doc_id", files.schema["doc_ids"].dataType.elementType),
-            T.StructField("shard", T.IntegerType()),
-            T.StructField("first", T.LongType()),
+            T.StructField("start", T.LongType()),
             T.StructField("ids", T.BinaryType()),
         ]
     )
@@ -294,7 +293,7 @@ def read_token_files(spark: SparkSession, out: str) -> DataFrame:
         target = to_arrow_schema(schema)
         for batch in batches:
             for k in range(batch.num_rows):
-                row = {n: batch.column(n)[k] for n in ("shard", "first", "lengths", "data")}
+                row = {n: batch.column(n)[k] for n in ("before", "first", "lengths", "data")}
                 ids = decode_segment(row["data"].as_py())
                 lengths = np.asarray(row["lengths"].as_py(), np.int64)
                 ends = np.cumsum(lengths)
@@ -306,15 +305,16 @@ def read_token_files(spark: SparkSession, out: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         names.cast(target.field(0).type),
-                        pa.array([row["shard"].as_py()] * len(lengths), pa.int32()),
-                        pa.array(row["first"].as_py() + ends - lengths, pa.int64()),
+                        pa.array(row["before"].as_py() + row["first"].as_py() + ends - lengths, pa.int64()),
                         pa.array([raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary()),
                     ],
                     schema=target,
                 )
 
-    found = files.select("shard", "first", "doc_ids", "lengths", "data").mapInArrow(run, schema)
-    return found.join(before, "shard").select(
-        "doc_id", (F.col("before") + F.col("first")).alias("start"), "ids"
+    # segments are joined while they are still coded
+    return (
+        files.join(before, "shard")
+        .select("before", "first", "doc_ids", "lengths", "data")
+        .mapInArrow(run, schema)
     )
 

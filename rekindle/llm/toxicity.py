@@ -46,7 +46,7 @@ LEAST_SHARE = 0.02
 STEMS = (4, 5, 6, 7)
 NEAR = 3
 #: Score of a clause that has no hit.
-PRIOR = 0.05
+PRIOR = 0.02
 
 # Closed word classes of English, German, French and Spanish.
 TARGETS = frozenset(

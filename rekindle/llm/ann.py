@@ -6,11 +6,15 @@ the array; the entries around it share the longest prefixes with it. From there
 in step: each gives the same number of entries on either side, which have ever shorter prefixes
 in common. They are compared by exact distance where they lie, and the best of each tree merged.
 
-``WIDTH`` decides between recall and work. Vectors without structure, such as directions spread
-evenly over 64 dimensions, need many candidates: the defaults reach a recall of 0.9 there.
+How many entries a tree gives decides between recall and work, and follows from the table: for a
+sample of the queries (``TRIED``) the nearest entries are found by comparing all, and the number
+is the least that brings ``AIM`` of them up, ``WIDTH`` on either side at least. Vectors without
+structure, such as directions spread evenly over 64 dimensions, need a number that grows about as
+the table does, so the work on them grows with its square.
 
 The arrays are sorted by range partitions and numbered by position, so a block holds a fixed
 number of entries whatever their strings: many equal or close strings make no large group. Equal
+strings are ordered by a hash that differs per tree, so the trees do not repeat each other. Equal
 vectors are one entry with their ``k + 1`` smallest ids, which is all that a list of ``k`` can
 need. Only the hyperplanes' middle comes from a sample (``SAMPLE`` vectors); every vector is
 indexed.
@@ -23,6 +27,7 @@ than ``k`` all are returned. Columns other than id and vector are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,8 +41,12 @@ from rekindle.llm.common import written
 
 TREES = 24
 BITS = 63
-#: Entries on either side that each tree gives a query.
+#: Entries on either side that each tree gives a query, at least.
 WIDTH = 800
+#: Queries that are compared with all entries to find the width, and the share of their nearest
+#: that it has to bring up.
+TRIED = 256
+AIM = 0.95
 SAMPLE = 20_000
 BLOCK = 8_192
 SEED = 11
@@ -91,7 +100,9 @@ def forest(index: DataFrame, trees: int = TREES, seed: int = SEED) -> DataFrame:
     dim = len(sample.iloc[0]) if len(sample) else 1
     planes = np.random.default_rng(seed).standard_normal((dim, trees * BITS))
     points = np.stack(sample.to_numpy()).astype(np.float64) if len(sample) else np.zeros((1, dim))
-    middle = np.median(points @ planes, axis=0)
+    # tree after tree, so that the driver holds little
+    each = np.split(planes, trees, axis=1)
+    middle = np.concatenate([np.median(points @ x, axis=0, overwrite_input=True) for x in each])
     shared = index.sparkSession.sparkContext.broadcast((planes, middle))
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,9 +133,10 @@ def forest(index: DataFrame, trees: int = TREES, seed: int = SEED) -> DataFrame:
             )
 
     tasks = max(1, -(-n * trees // 500_000))
+    order = ("tree", "key", F.xxhash64("entry", "tree"), "entry")
     placed = written(
-        strings.repartitionByRange(tasks, "tree", "key", "entry")
-        .sortWithinPartitions("tree", "key", "entry")
+        strings.repartitionByRange(tasks, *order)
+        .sortWithinPartitions(*order)
         .mapInArrow(number, "tree int, key long, entry long, part int, place long"),
         "ann-places",
     )
@@ -138,6 +150,61 @@ def forest(index: DataFrame, trees: int = TREES, seed: int = SEED) -> DataFrame:
     )
 
 
+def exact(index: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """(query, entry): the ``k`` nearest other entries of each of a few queries, all compared."""
+    rows = queries.join(index, "entry").select("entry", "vec").collect()  # at most ``TRIED``
+    names = np.array([r["entry"] for r in rows], np.int64)
+    points = np.array([r["vec"] for r in rows], np.float64).reshape(len(rows), -1 if rows else 1)
+    shared = index.sparkSession.sparkContext.broadcast((names, points))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, points = shared.value
+        if not len(names):
+            return
+        found = np.zeros((len(names), 0), np.int64)
+        far = np.zeros((len(names), 0))
+        for batch in batches:
+            for at in range(0, batch.num_rows, 4096):
+                few = batch.slice(at, 4096)
+                own, vec = few.column("entry").to_numpy(), _matrix(few.column("vec")).astype(np.float64)
+                score = (vec**2).sum(axis=1) - 2 * points @ vec.T
+                score[names[:, None] == own] = np.inf
+                far = np.hstack([far, score])
+                found = np.hstack([found, np.broadcast_to(own, score.shape)])
+                if far.shape[1] > k:
+                    best = np.argpartition(far, k - 1, axis=1)[:, :k]
+                    far, found = np.take_along_axis(far, best, 1), np.take_along_axis(found, best, 1)
+        query = np.repeat(names, far.shape[1])
+        known = np.isfinite(far.ravel())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(query[known]), pa.array(found.ravel()[known]), pa.array(far.ravel()[known])],
+            names=["query", "entry", "score"],
+        )
+
+    order = Window.partitionBy("query").orderBy("score", "entry")
+    return (
+        index.select("entry", "vec")
+        .mapInArrow(scan, "query long, entry long, score double")
+        .withColumn("nth", F.row_number().over(order))
+        .filter(F.col("nth") <= k)
+        .select("query", "entry")
+    )
+
+
+def width_for(array: DataFrame, index: DataFrame, queries: DataFrame, k: int) -> int:
+    """Entries on either side that bring ``AIM`` of the nearest up, by a sample of the queries."""
+    few = queries.orderBy(F.xxhash64("entry", F.lit("tried")), "entry").limit(TRIED)
+    pairs = written(exact(index, few, k), "ann-tried")
+    places = array.select("tree", "entry", "rank")
+    asked = pairs.join(places.withColumnsRenamed({"entry": "query", "rank": "q_rank"}), "query")
+    apart = F.min(F.abs(F.col("rank") - F.col("q_rank"))).alias("apart")
+    needed = sorted(
+        r["apart"]
+        for r in asked.join(places, ["tree", "entry"]).groupBy("query", "entry").agg(apart).collect()
+    )  # at most ``TRIED`` times ``k``
+    return max([WIDTH, *needed[: math.ceil(len(needed) * AIM)]])
+
+
 def _around(width: int, k: int, component: str):
     """The best entries next to each query in one block, by exact distance."""
 
@@ -209,9 +276,12 @@ def nearest(
     id_col: str = "vec_id",
     vec_col: str = "embedding",
     trees: int = TREES,
-    width: int = WIDTH,
+    width: int | None = None,
 ) -> DataFrame:
-    """The ``k`` nearest found of each row where ``is_query`` (a condition on column ``id``)."""
+    """The ``k`` nearest found of each row where ``is_query`` (a condition on column ``id``).
+
+    By default the width follows from the table.
+    """
     found = written(usable(df, id_col, vec_col), "ann-vectors")
     index = written(entries(found, k), "ann-entries")
     asking = written(
@@ -220,6 +290,8 @@ def nearest(
     )
     queries = asking.select("entry").distinct()
     array = written(forest(index, trees), "ann-forest")
+    if width is None:
+        width = width_for(array, index, queries, k)
     near = scored(array, index, queries, k, width).join(index.select("entry", "ids"), "entry")
     order = Window.partitionBy("query").orderBy("score", "vec_id")
     # k and one more, as a query may find itself

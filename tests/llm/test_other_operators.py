@@ -123,6 +123,34 @@ def test_search_recall(spark):
     assert hits / len(found) >= 0.9 and len(found) == 10 * len({r.query_id for r in found})
 
 
+def test_search_width_follows_the_table(spark):
+    """Two trees of the least width see under half of the table; recall must hold all the same."""
+    rng = np.random.default_rng(5)
+    points = rng.standard_normal((8000, 64))
+    points /= np.linalg.norm(points, axis=1)[:, None]
+    points[:1000] = points[0] + 1e-5 * rng.standard_normal((1000, 64))
+    data = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "vec_id long, embedding array<double>")
+    found = defaultdict(set)
+    for r in ann.nearest(data, F.col("id") % 80 == 0, trees=2).collect():
+        found[r.query_id].add(r.vec_id)
+    hits = 0
+    for q in range(0, 8000, 80):
+        far = ((points - points[q]) ** 2).sum(axis=1)
+        far[q] = np.inf
+        hits += len(found[q] & set(np.argsort(far)[:10].tolist()))
+    assert hits >= 0.9 * 10 * 100
+
+
+def test_equal_strings_lie_differently_in_each_tree(spark):
+    index = spark.createDataFrame([(i, [1.0, 1.0 + 1e-12 * i]) for i in range(40)], "entry long, vec array<double>")
+    array = ann.forest(index, trees=2)
+    same = defaultdict(list)
+    for r in array.orderBy("rank").collect():
+        same[r.tree, r.key].append(r.entry)
+    large = [set(map(tuple, (x, sorted(x)))) for x in same.values() if len(x) > 10]
+    assert large and all(len(x) == 2 for x in large)
+
+
 def test_search_copies_and_bad_vectors(spark):
     rng = np.random.default_rng(3)
     rows = [(k, [float(x) for x in rng.integers(-3, 4, 4)]) for k in range(300)]

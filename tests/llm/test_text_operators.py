@@ -13,7 +13,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from rekindle.llm import bpe, lm, quality, simhash, toxicity
+from rekindle.llm import bpe, lm, near_copies, quality, simhash, toxicity
 from rekindle.llm.queries import tokenizer_path
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -147,6 +147,42 @@ def test_dense_ball_is_linked_without_pairs(spark, monkeypatch):
             assert edges.count() < 40 * len(values)
 
 
+def _shingle_groups(rows):
+    """Smallest id of each group of texts with a Jaccard similarity of 0.8 on five-word shingles."""
+    sets = {}
+    for i, text in rows:
+        words = (text or "").encode().lower().split()
+        sets[i] = {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))}
+    root = {i: i for i in sets}
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a, b in combinations(sorted(sets), 2):
+        both = len(sets[a] & sets[b])
+        if 5 * both >= 4 * len(sets[a] | sets[b]):
+            x, y = sorted((top(a), top(b)))
+            root[y] = x
+    return {top(i) for i in sets}
+
+
+@pytest.mark.parametrize("crowded", [32, 2])
+def test_near_copies_against_all_pairs(spark, monkeypatch, crowded):
+    monkeypatch.setattr(near_copies, "CROWDED", crowded)
+    given = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter("n_chars < 20000").limit(500)
+    rows = [(r.doc_id, r.text) for r in given.collect()]
+    base = [f"w{k}" for k in range(100)]
+    for k in range(60):  # each is near the first, not all near each other
+        own = list(base)
+        own[k] = f"x{k}"
+        rows.append((10**6 + k, " ".join(own)))
+    rows += [(2 * 10**6, None), (2 * 10**6 + 1, " "), (2 * 10**6 + 2, "one two")]
+    made = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r.doc_id for r in near_copies.keep_one(made).collect()) == sorted(_shingle_groups(rows))
+
+
 def test_simhash_odd_ids(spark):
     rows = [(None, "same text here"), (3, "same text here"), (3, "another text of its own"), (3, "same text here")]
     frame = spark.createDataFrame(rows, "doc_id long, text string")

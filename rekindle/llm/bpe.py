@@ -418,16 +418,22 @@ def decode(encoded: DataFrame, path: str, ids_col: str = "ids", out: str = "deco
     return encoded.mapInArrow(run, schema)
 
 
-def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document the number of ids and digests of ids and decoded text."""
-    both = encode(docs, path, id_col, text_col, decoded=True)
+def tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per document ``ids`` and the ``decoded`` text, the number of ids and digests of both."""
 
     def sha(value: Column) -> Column:
         return F.sha2(value, 256)
 
-    return both.select(
+    return encode(docs, path, id_col, text_col, decoded=True).select(
         id_col,
+        "ids",
+        "decoded",
         F.expr("octet_length(ids) div 4").alias("n_tokens"),
         sha(F.col("ids")).alias("ids_sha256"),
         sha(F.col("decoded").cast("binary")).alias("decoded_sha256"),
     )
+
+
+def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per document the number of ids and digests of ids and decoded text."""
+    return tokens(docs, path, id_col, text_col).drop("ids", "decoded")

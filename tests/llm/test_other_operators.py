@@ -257,5 +257,16 @@ def test_pipeline_stages(spark):
     assert total.count() == docs.count() and set(total.columns) >= {"doc_id", "n_tokens"}
 
 
+def test_pipeline_ends_in_tokens(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(20)
+    out = corpus_pipeline.encode_tokens(spark, docs, SMALL).collect()
+    texts, coder = {r.doc_id: r.text or "" for r in docs.collect()}, bpe.tokenizer(tokenizer_path())
+    for r in out:
+        ids = np.frombuffer(r.ids, "<u4").tolist()
+        assert ids == coder.encode(texts[r.doc_id], add_special_tokens=False).ids
+        assert r.decoded == coder.decode(ids, skip_special_tokens=False)
+        assert r.n_tokens == len(ids) and r.ids_sha256 == hashlib.sha256(r.ids).hexdigest()
+
+
 def test_every_operator_is_registered():
     assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))

@@ -39,6 +39,8 @@ GROUP_BYTES = 16 << 20
 #: Text that is cut into words at a time.
 CUT_BYTES = 2 << 20
 MARKS = ".,;:!?"
+#: Before packed numbers of four bytes; compressed data never starts like this.
+WIDE = b"\x04"
 
 
 def tokenizer(path: str):
@@ -176,14 +178,22 @@ def words_of(texts: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray]:
 
 
 def pack(values: np.ndarray) -> bytes:
-    """Numbers below 2**24 as compressed byte planes."""
-    planes = values.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3].T
-    return zstandard.ZstdCompressor(level=3).compress(np.ascontiguousarray(planes).tobytes())
+    """Numbers below 2**32 as compressed byte planes: three, or four after a mark where one needs it."""
+    most = int(values.max()) if len(values) else 0
+    if most >= 1 << 32:
+        raise ValueError(f"{most} does not fit in four bytes")
+    wide = most >= 1 << 24
+    planes = values.astype("<u4").view(np.uint8).reshape(-1, 4)[:, : 4 if wide else 3].T
+    packed = zstandard.ZstdCompressor(level=3).compress(np.ascontiguousarray(planes).tobytes())
+    return WIDE + packed if wide else packed
 
 
 def unpack(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(3, -1).astype(np.int32)
-    return planes[0] | planes[1] << 8 | planes[2] << 16
+    wide = data.startswith(WIDE)
+    raw = zstandard.ZstdDecompressor().decompress(data[len(WIDE) :] if wide else data)
+    planes = np.frombuffer(raw, np.uint8).reshape(4 if wide else 3, -1).astype(np.int64 if wide else np.int32)
+    found = planes[0] | planes[1] << 8 | planes[2] << 16
+    return found | planes[3] << 24 if wide else found
 
 
 def _groups(words: list[str], groups: int) -> np.ndarray:

@@ -9,6 +9,7 @@ import struct
 from collections import Counter
 from itertools import combinations
 
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -284,5 +285,10 @@ def test_bpe_decode_alone(given):
     assert both.filter("decoded = again").count() == given.count()
 
 
+@pytest.mark.parametrize("values", [[], [0, 5, 2**24 - 1], [1, 2**24, 2**31 + 7]])
+def test_packed_numbers(values):
+    assert bpe.unpack(bpe.pack(np.array(values, np.int64))).tolist() == values
+
+
 def test_bpe_empty(docs):
     assert bpe.digests(docs.limit(0), tokenizer_path()).count() == 0

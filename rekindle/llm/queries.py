@@ -4,10 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-
-from rekindle.llm import ann, bpe, chat, lm, mixing, quality, simhash, token_files, toxicity, warc
+from pyspark.sql.types import StringType
+
+from rekindle.llm import (
+    ann,
+    blocked_search,
+    bpe,
+    chat,
+    lm,
+    mixing,
+    ngram_join,
+    periodic_runs,
+    quality,
+    simhash,
+    token_files,
+    toxicity,
+    warc,
+)
 from rekindle.llm.common import table, written
 from rekindle.session import scratch_path
 
@@ -92,6 +108,50 @@ def op10_warc(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def op11_ngram_join(spark: SparkSession, root: str) -> DataFrame:
+    return ngram_join.join(table(spark, root, "documents"))
+
+
+def op12_blocked_search(spark: SparkSession, root: str) -> DataFrame:
+    return blocked_search.search(table(spark, root, "documents"), table(spark, root, "benchmark"))
+
+
+@F.pandas_udf(StringType())
+def _with_repeats(texts: pd.Series, draws: pd.Series) -> pd.Series:
+    """Texts whose words repeat from some place on with some period; null texts stay."""
+
+    def one(text: str | None, g: int) -> str | None:
+        words = (text or "").encode("utf-8", "surrogatepass").split()
+        if not words:
+            return text
+        n = len(words)
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        tail = (words[a : a + p] * (-(-(n - a) // p)))[: n - a]
+        return b" ".join(words[:a] + tail).decode("utf-8", "surrogatepass")
+
+    return pd.Series([None if g is None or g != g else one(t, int(g)) for t, g in zip(texts, draws, strict=True)], dtype=object)
+
+
+def op13_periodic_runs(spark: SparkSession, root: str) -> DataFrame:
+    h = F.crc32(F.col("doc_id").cast("string"))
+    chosen = h % 10 == 0
+    repeated = _with_repeats(F.when(chosen, F.col("text")), F.when(chosen, F.floor(h / 10)))
+    docs = table(spark, root, "documents").select("doc_id", F.when(chosen, repeated).otherwise(F.col("text")).alias("text"))
+    line = F.transform("runs", lambda r: F.concat_ws(",", r.start, r.length, r.period))
+    lines = F.array_join(F.transform(line, lambda x: F.concat(x, F.lit("\n"))), "")
+    return periodic_runs.runs(docs).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "leading.start",
+        "leading.length",
+        "leading.period",
+        F.expr("1000 * leading.length div leading.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -105,9 +165,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_mixing,
         op9_token_files,
         op10_warc,
+        op11_ngram_join,
+        op12_blocked_search,
+        op13_periodic_runs,
     )
 }
 
+_WORD = "[^\\x20\\x09-\\x0D]+"
+_TERM = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
 
 ORACLES: dict[str, str] = {
@@ -150,4 +216,33 @@ d AS (SELECT q.vec_id AS query_id, c.vec_id,
   FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0)
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS rank FROM d) WHERE rank <= 10""",
+    "op11_ngram_join": rf"""
+WITH RECURSIVE w AS (SELECT row_number() OVER () AS num, doc_id, regexp_extract_all({_LOWER}, '{_WORD}') AS words FROM documents),
+s AS (SELECT DISTINCT num, array_to_string(words[i:i + 3], ' ') AS shingle
+  FROM (SELECT num, words, unnest(range(1, 1 + greatest(1, len(words) - 3))) AS i FROM w WHERE len(words) > 0)),
+n AS (SELECT num, count(*) AS n FROM s GROUP BY num),
+o AS (SELECT a.num AS a, b.num AS b, count(*) AS overlap FROM s a JOIN s b ON a.shingle = b.shingle AND a.num < b.num GROUP BY ALL),
+l AS (SELECT a, b FROM o JOIN n x ON x.num = a JOIN n y ON y.num = b WHERE 185 * overlap >= 85 * (x.n + y.n)),
+both_ways AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+reach AS (SELECT DISTINCT a AS num, a AS other FROM both_ways UNION
+  SELECT reach.num, both_ways.b FROM reach JOIN both_ways ON reach.other = both_ways.a),
+named AS (SELECT reach.num, min(w.doc_id) AS component_id FROM reach JOIN w ON w.num = reach.other GROUP BY reach.num)
+SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, CASE WHEN named.num IS NULL THEN w.doc_id ELSE component_id END AS component_id
+FROM w LEFT JOIN n USING (num) LEFT JOIN named USING (num)""",
+    "op12_blocked_search": rf"""
+WITH t AS (SELECT num, doc_id, unnest(regexp_extract_all({_LOWER}, '{_TERM}')) AS term
+  FROM (SELECT row_number() OVER () AS num, * FROM documents)),
+tf AS (SELECT num, doc_id, term, count(*) AS tf FROM t GROUP BY ALL),
+size AS (SELECT num, count(*) AS n FROM t GROUP BY num),
+whole AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS words FROM size),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+q AS (SELECT item, item_id, term, count(*) AS times FROM (SELECT item, item_id,
+  unnest(regexp_extract_all({_LOWER}, '{_TERM}')) AS term FROM (SELECT row_number() OVER () AS item, * FROM benchmark)) GROUP BY ALL),
+w AS (SELECT item, item_id, term, times * floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS weight
+  FROM q JOIN df USING (term), whole),
+m AS (SELECT num, 25 + (75 * n * docs) // words AS m FROM size, whole),
+scored AS (SELECT item, item_id, num, doc_id, sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM w JOIN tf USING (term) JOIN m USING (num) GROUP BY ALL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 10""",
 }

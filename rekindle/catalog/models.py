@@ -5,14 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rekindle.catalog.features import feature_table
+from rekindle.catalog import model_sql
+from rekindle.catalog.features import RATES, feature_table
 from rekindle.catalog.registry import query, rounded
 from rekindle.catalog.sql import on_features, using
-from rekindle.contracts import LABEL, NUMERIC_FEATURES
+from rekindle.contracts import (
+    BOOLEAN_FEATURES,
+    CATEGORICAL_FEATURES,
+    FEATURE_TABLE_COLUMNS,
+    KEY,
+    LABEL,
+    NUMERIC_FEATURES,
+)
 from rekindle.plans import evaluation, scoring, training
+from rekindle.plans.preparation import Preparation
+from rekindle.plans.registry import CHALLENGER, CHAMPION, Registry
 from rekindle.session import scratch_path
 from rekindle.sources import views
-from rekindle.sources.tables import materialised
+from rekindle.sources.tables import materialised, own_name
 from rekindle.sources.views import SNAPSHOT
 
 
@@ -65,13 +75,13 @@ def ml_stratified_split(spark: SparkSession, root: str) -> DataFrame:
     return evaluation.stratified_split(labels, "user_id")
 
 
-_PROFILED = ("tenure_days", "plan_type", "region", "device_type", "age_band", "avg_progress_pct", "top_genre",
-             "total_events", "total_session_minutes", "distinct_books", "days_since_last_event",
-             "events_last_90d", "events_last_180d")
+#: Every column but the key.
+_PROFILED = FEATURE_TABLE_COLUMNS[1:]
+_RATED = {"avg_session_minutes", "avg_progress_pct", "pct_finished", "pct_audiobook", "pct_ebook"}
 
 
 def _profile_sql(column: str) -> str:
-    numeric = column in NUMERIC_FEATURES
+    numeric = column in NUMERIC_FEATURES or column == LABEL
     moments = (
         f"ROUND(AVG({column}), 6), ROUND(stddev_samp({column}), 6), "
         f"ROUND(MIN({column})::DOUBLE, 6), ROUND(MAX({column})::DOUBLE, 6)"
@@ -80,7 +90,7 @@ def _profile_sql(column: str) -> str:
     )
     return (
         f"SELECT '{column}', COUNT(*), COUNT(*) - COUNT({column}), "
-        f"COUNT(DISTINCT {'ROUND(' + column + ', 9)' if numeric else column}), {moments} FROM features"
+        f"COUNT(DISTINCT {'ROUND(' + column + ', 9)' if column in _RATED else column}), {moments} FROM features"
     )
 
 
@@ -88,35 +98,107 @@ def _profile_sql(column: str) -> str:
     "SELECT * FROM (" + " UNION ALL ".join(_profile_sql(c) for c in _PROFILED)
     + ") t(column_name, n, nulls, distinct_values, mean, stddev, min, max)"))
 def ml_profile_columns(spark: SparkSession, root: str) -> DataFrame:
-    # The mean progress is rounded first: its last bits depend on summation order.
-    table = rounded(feature_table(spark, root), "avg_progress_pct", digits=9)
+    # Means are rounded first: their last bits depend on summation order.
+    table = rounded(feature_table(spark, root), *RATES, digits=9)
     profile = evaluation.profile_columns(table, _PROFILED)
     return rounded(profile, "mean", "stddev", "min", "max", digits=6)
 
 
-_CORRELATED = ("tenure_days", "total_events", "total_session_minutes", "distinct_books",
-               "days_since_last_event", "events_last_90d", "events_last_180d", "will_reactivate")
+#: All numeric features and flags, and the label.
+_CORRELATED = (*NUMERIC_FEATURES, *BOOLEAN_FEATURES, LABEL)
 
 
+def _number(c: str) -> str:
+    return f"CAST({c} AS DOUBLE)"
+
+
+# Rounding may turn a tiny negative value into -0.0, which is 0.0 in neither engine's hash.
 @query(on_features(" UNION ALL ".join(
-    f"SELECT '{a}' AS column_a, '{b}' AS column_b, ROUND(corr({a}, {b}), 8) AS correlation FROM features"
+    f"SELECT '{a}' AS column_a, '{b}' AS column_b, CASE WHEN MIN({_number(a)}) < MAX({_number(a)}) AND "
+    f"MIN({_number(b)}) < MAX({_number(b)}) THEN ROUND(covar_pop({_number(a)}, {_number(b)}) / "
+    f"(stddev_pop({_number(a)}) * stddev_pop({_number(b)})), 8) + 0.0::DOUBLE END AS correlation FROM features"
     for i, a in enumerate(_CORRELATED) for b in _CORRELATED[i + 1:])))
 def ml_correlations(spark: SparkSession, root: str) -> DataFrame:
-    pairs = evaluation.correlations(feature_table(spark, root), _CORRELATED)
-    return rounded(pairs, "correlation", digits=8)
+    flags = {c: F.col(c).cast("int") for c in BOOLEAN_FEATURES}
+    table = feature_table(spark, root).withColumns(flags)
+    pairs = rounded(evaluation.correlations(table, _CORRELATED), "correlation", digits=8)
+    return pairs.withColumn("correlation", F.col("correlation") + F.lit(0.0))
+
+
+_ALL = (NUMERIC_FEATURES, BOOLEAN_FEATURES, CATEGORICAL_FEATURES)
+#: Inputs of the challenger: recent activity and flags only.
+_FEW = (("days_since_last_event", "total_events", "events_last_90d", "events_last_180d"), BOOLEAN_FEATURES, ())
 
 
-@query()
+def _with_models(*names: str) -> str:
+    """The feature chain, the split and the named models, ``champion`` or ``challenger``."""
+    inputs = {"champion": _ALL, "challenger": _FEW}
+    parts = [model_sql.SPLITS]
+    for name in names:
+        parts += [model_sql.vectors(name, "split = 'train'", *inputs[name]), model_sql.gaussian(name)]
+    return "+ " + ",\n".join(parts) + "\n"
+
+
+@query(on_features(
+    f"+ {model_sql.SPLITS}, {model_sql.vectors('all_', 'TRUE', *_ALL)} SELECT user_id, MAX(will_reactivate) AS label, "
+    "list(ROUND(x, 9) ORDER BY position) AS features FROM all__x JOIN splits USING (user_id) GROUP BY user_id"))
 def ml_prepare(spark: SparkSession, root: str) -> DataFrame:
-    table = materialised(training.typed(feature_table(spark, root)), "features")
-    fitted = training.preparation().fit(table)
-    vector = training.vector_to_array("features")
-    return fitted.transform(table).select("user_id", F.col(LABEL).alias("label"), vector.alias("features"))
+    table = materialised(feature_table(spark, root), "features")
+    fitted = Preparation.fit(table, scratch_path(spark, "preparation"))
+    vector = F.transform(training.vector_to_array("features"), lambda x: F.round(x, 9))
+    return fitted.transform(table).select(KEY, F.col(LABEL).alias("label"), vector.alias("features"))
+
+
+_TRIALS = ", ".join(f"('run_{i:03d}', '{family}')" for i, (family, _) in enumerate(training.GRID))
+_METRICS = ", ".join(f"('{s}', '{p}{m}')" for s, p in (("validation", "val_"), ("test", "test_")) for m in training.METRICS.values())
 
 
-@query()
+# Values of iterative fits are beyond SQL. Checked here: every run has every metric over all rows of
+# its split, in its range, and the first run's weights are the optimum of its loss.
+@query(on_features(f"""+ {model_sql.SPLITS} SELECT 'reactivation' AS experiment, run_id, model_family, metric, n,
+TRUE AS in_range, CASE WHEN run_id = 'run_000' THEN TRUE END AS optimal
+FROM (VALUES {_TRIALS}) r(run_id, model_family), (VALUES {_METRICS}) m(split, metric)
+JOIN (SELECT split, COUNT(*) AS n FROM splits GROUP BY split) USING (split)"""))
 def ml_train_trials(spark: SparkSession, root: str) -> DataFrame:
-    return training.train_trials(feature_table(spark, root)).trials
+    search = training.train_trials(feature_table(spark, root))
+    steep = training.logistic_gradient(search.ready.where(F.col("split") == "train"), search.models["run_000"])
+    optimal = steep.agg((F.max(F.abs("gradient")) < 1e-5).alias("flat"))
+    sizes = search.scores.groupBy("run_id", "split").agg(F.count("probability").alias("n"))
+    prefix = F.when(F.col("split") == "validation", "val_").otherwise("test_")
+    value = F.col("value")
+    return (
+        search.trials.join(sizes.withColumn("_of", prefix), "run_id")
+        .where(F.col("metric").startswith(F.col("_of")))
+        .crossJoin(optimal)  # one row
+        .select(
+            "experiment",
+            "run_id",
+            "model_family",
+            "metric",
+            "n",
+            F.coalesce((value >= 0) & ((value <= 1) | F.col("metric").endswith("log_loss")), F.lit(False)).alias("in_range"),
+            F.when(F.col("run_id") == "run_000", F.col("flat")).alias("optimal"),
+        )
+    )
+
+
+_BAYES = (("naive_bayes", {"modelType": "gaussian"}),)
+
+
+@query(on_features(_with_models("champion") + """, scores AS (SELECT split, will_reactivate AS label, probability
+FROM splits JOIN champion_p USING (user_id) WHERE split <> 'train'),
+c AS (""" + model_sql.counts("scores", "split") + """),
+auc AS (SELECT p.split, SUM(CASE WHEN p.probability > n.probability THEN 1.0::DOUBLE
+WHEN p.probability = n.probability THEN 0.5::DOUBLE ELSE 0 END) / COUNT(*) AS roc_auc
+FROM scores p JOIN scores n ON p.split = n.split AND p.label = 1 AND n.label = 0 GROUP BY p.split),
+t AS (SELECT split, unnest(['accuracy', 'precision', 'recall', 'f1_score', 'log_loss', 'roc_auc']) AS metric,
+unnest([(tp + tn)::DOUBLE / n, COALESCE(tp::DOUBLE / NULLIF(tp + fp, 0), 0), COALESCE(tp::DOUBLE / NULLIF(tp + fn, 0), 0),
+COALESCE(2.0::DOUBLE * tp / NULLIF(2 * tp + fp + fn, 0), 0), log_loss, roc_auc]) AS value FROM c JOIN auc USING (split))
+SELECT 'run_000' AS run_id, CASE WHEN split = 'test' THEN 'test_' ELSE 'val_' END || metric AS metric, ROUND(value, 6) AS value FROM t"""))
+def ml_closed_form_trial(spark: SparkSession, root: str) -> DataFrame:
+    """A trial whose model has a closed form, value by value."""
+    trials = training.train_trials(feature_table(spark, root), _BAYES).trials
+    return rounded(trials.where(~F.col("metric").endswith("pr_auc")), "value", digits=6).select("run_id", "metric", "value")
 
 
 @query(on_features(_SCORES + """, c AS (SELECT model, COUNT(*) AS n,
@@ -167,14 +249,33 @@ def ml_best_trial(spark: SparkSession, root: str) -> DataFrame:
     return evaluation.best_trial(views.trials(spark, root))
 
 
-@query(on_features(_SCORES + """, m AS (SELECT model, COUNT(*) AS n,
-COUNT(*) FILTER (probability >= 0.5 AND label = 1) AS tp, COUNT(*) FILTER (probability >= 0.5 AND label = 0) AS fp,
-COUNT(*) FILTER (probability < 0.5 AND label = 1) AS fn FROM scores GROUP BY model),
-f AS (SELECT *, COALESCE(2.0::DOUBLE * tp / NULLIF(2 * tp + fp + fn, 0), 0) AS f1 FROM m)
-SELECT model, n, ROUND(f1, 10) AS f1, f1 = MAX(f1) OVER () AS winner FROM f"""))
+MODEL = "reactivation"
+
+
+def registered(spark: SparkSession, table: DataFrame, *aliases: str) -> Registry:
+    """Models fitted on the training split of a written table, stored, and given their aliases."""
+    registry = Registry(spark, scratch_path(spark, "registry"))
+    for alias in aliases:
+        inputs = _ALL if alias == CHAMPION else _FEW
+        search = training.train_trials(table, _BAYES, numeric=inputs[0], flags=inputs[1], categorical=inputs[2])
+        run = training.best_run(search)
+        registry.assign(MODEL, alias, registry.register(MODEL, search.models[run], run, "naive_bayes"))
+    return registry
+
+
+@query(on_features(_with_models("champion", "challenger") + """, scores AS (
+SELECT user_id, will_reactivate AS label, 'Champion' AS model, probability FROM splits JOIN champion_p USING (user_id) WHERE split = 'test'
+UNION ALL SELECT user_id, will_reactivate, 'Challenger', probability FROM splits JOIN challenger_p USING (user_id) WHERE split = 'test'),
+c AS (""" + model_sql.counts("scores", "model") + """)
+SELECT model, n, tp, fp, fn, tn, ROUND(log_loss, 6) AS log_loss, log_loss = MIN(log_loss) OVER () AS winner FROM c"""))
 def ml_champion_challenger(spark: SparkSession, root: str) -> DataFrame:
-    table = evaluation.champion_challenger(scores(spark, root))
-    return rounded(table, "f1").select("model", "n", "f1", "winner")
+    table = materialised(feature_table(spark, root), "features")
+    registry = registered(spark, table, CHAMPION, CHALLENGER)
+    split = evaluation.stratified_split(table, KEY)
+    held_out = materialised(split.where(F.col("split") == "test"), "holdout")
+    scored = registry.scored_by(MODEL, held_out).withColumnRenamed(LABEL, "label")
+    compared = evaluation.champion_challenger(scored, "log_loss")
+    return rounded(compared, "log_loss", digits=6).select("model", "n", "tp", "fp", "fn", "tn", "log_loss", "winner")
 
 
 @query(using("alias_log", """SELECT model, alias, version, assigned_at FROM (SELECT *, ROW_NUMBER() OVER (
@@ -193,18 +294,20 @@ def ml_version_listing(spark: SparkSession, root: str) -> DataFrame:
 
 # --- scoring -----------------------------------------------------------------------
 
-_ONE_TRIAL = (("logistic_regression", {"regParam": 0.01, "maxIter": 10}),)
+_SCORED = """, scored AS (SELECT f.*, CAST(probability > 0.5 AS INTEGER) AS prediction,
+ROUND(probability, 7) + 0.0::DOUBLE AS probability FROM features f JOIN champion_p USING (user_id))"""
 
 
-def _fitted_scores(spark: SparkSession, root: str) -> DataFrame:
+def _scored_by_champion(spark: SparkSession, root: str) -> DataFrame:
+    """The whole feature table scored by the model behind an alias, loaded from storage."""
     table = materialised(feature_table(spark, root), "features")
-    search = training.train_trials(table, _ONE_TRIAL)
-    return scoring.score_batch(table, search.models["run_000"])
+    return registered(spark, table, CHAMPION).load(MODEL, CHAMPION).score(table)
 
 
-@query()
+@query(on_features(_with_models("champion") + _SCORED + "SELECT user_id, will_reactivate, prediction, probability FROM scored"))
 def score_batch(spark: SparkSession, root: str) -> DataFrame:
-    return _fitted_scores(spark, root).select("user_id", LABEL, "prediction")
+    scored = _scored_by_champion(spark, root)
+    return rounded(scored, "probability", digits=7).select(KEY, LABEL, "prediction", "probability")
 
 
 @query(on_features(f"SELECT user_id, ROUND({_CHAMPION_SQL}, 10) AS prediction FROM features"))
@@ -221,15 +324,12 @@ def score_linear_expr(spark: SparkSession, root: str) -> DataFrame:
     return rounded(scored.select("user_id", "prediction"), "prediction")
 
 
-@query(on_features(f"""SELECT user_id, will_reactivate, total_events, top_genre, subscription_canceled,
-ROUND({_CHAMPION_SQL}, 10) AS prediction FROM features"""))
+@query(on_features(_with_models("champion") + _SCORED
+    + f"SELECT * REPLACE ({', '.join(f'ROUND({c}, 9) AS {c}' for c in RATES)}) FROM scored"))
 def score_persist(spark: SparkSession, root: str) -> DataFrame:
-    scored = scoring.score_with_expression(
-        feature_table(spark, root), scoring.COEFFICIENTS, scoring.INTERCEPT
-    )
-    table = scoring.persist_scores(scored, "rekindle_scored", scratch_path(spark, "scored"))
-    columns = ("user_id", LABEL, "total_events", "top_genre", "subscription_canceled", "prediction")
-    return rounded(table.select(*columns), "prediction")
+    scored = _scored_by_champion(spark, root)
+    table = scoring.persist_scores(scored, own_name("scored"), scratch_path(spark, "scored"))
+    return rounded(rounded(table, "probability", digits=7), *RATES, digits=9)
 
 
 @query(on_features(f"SELECT user_id, ROUND({_CHAMPION_SQL}, 10) AS prediction FROM features ORDER BY user_id LIMIT 10"))

@@ -311,6 +311,6 @@ _RULES = (
 @query("SELECT unnest([" + ", ".join(f"'{r}'" for r in _RULES) + "]) AS rule, 0::BIGINT AS violations")
 def gen_invariants(spark: SparkSession, root: str) -> DataFrame:
     ids, titles = user_keys(spark, root), book_keys(spark, root)
-    # Many rules read the events: write them once instead of generating them each time.
+    # Two groupings read the events: write them once instead of generating them each time.
     events = materialised(g.reading_events(ids, titles, TODAY), "generated_events")
     return g.invariants(g.users(ids, TODAY), g.books(titles), events, g.subscriptions(ids, TODAY))

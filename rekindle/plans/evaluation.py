@@ -9,13 +9,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rekindle.contracts import LABEL
+from rekindle.functions.moments import comoments
+from rekindle.functions.ranges import running_sums
 from rekindle.sources.tables import materialised
 
 SPLITS = {"train": 0.6, "validation": 0.2, "test": 0.2}
 #: Rows of one label that are ranked by one task.
 ROWS_PER_BUCKET = 50_000
-#: Distinct scores of a model whose running sums one task takes.
-SCORES_PER_PART = 50_000
 PROBABILITY_FLOOR = 1e-15
 
 
@@ -70,9 +70,10 @@ def stratified_split(
     one window would put half of the table in one task, so ranks are found in two steps:
     the small table of counts per (label, hash bucket) gives each bucket its starting
     rank, and only rows of one bucket are ranked together. The number of buckets follows
-    from the number of rows.
+    from the number of rows, counted on the written table, which all steps read.
     """
     if buckets is None:
+        df = materialised(df, "unsplit")
         buckets = max(1, -(-df.count() // ROWS_PER_BUCKET))
     hashed = df.withColumn("_h", key_hash(F.col(key)))
     hashed = hashed.withColumn("_b", F.floor(F.col("_h") / F.lit(4294967296 / buckets)).cast("int"))
@@ -102,61 +103,55 @@ def profile_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Per column: rows, NULLs, exact distinct values, and moments of numeric columns.
 
     Columns become (name, value, count) rows before anything is counted distinct, so a
-    value that fills a third of a column travels as one row per task.
+    value that fills a third of a column travels as one row per task. Moments of all columns are
+    one pass that merges without losing digits. A column without numbers has NULL moments.
     """
-    numeric = {f.name for f in df.schema.fields if f.dataType.typeName() in
-               ("integer", "long", "double", "float", "short", "byte")}
+    numeric = [f.name for f in df.schema.fields if f.name in columns and f.dataType.typeName() in
+               ("integer", "long", "double", "float", "short", "byte", "decimal")]
     cells = [
-        F.struct(
-            F.lit(c).alias("column_name"),
-            F.col(c).cast("string").alias("text"),
-            (F.col(c).cast("double") if c in numeric else F.lit(None).cast("double")).alias("x"),
-        )
-        for c in columns
+        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("text")) for c in columns
     ]
-    values = df.select(F.inline(F.array(*cells))).groupBy("column_name", "text", "x").agg(
-        F.count(F.lit(1)).alias("k")
-    )
-    k, x = F.col("k"), F.col("x")
-    known = F.sum(F.when(x.isNotNull(), k))
-    mean = F.try_divide(F.sum(x * k), known)
-    # Spark's own moments merge without losing digits, whatever the size of the mean.
-    own = df.agg(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(c).alias("column_name"),
-                    (F.stddev(F.col(c).cast("double")) if c in numeric else F.lit(None).cast("double")).alias("stddev"),
-                )
-                for c in columns
-            ]
-        ).alias("s")
-    ).select(F.inline("s"))
+    values = df.select(F.inline(F.array(*cells))).groupBy("column_name", "text").agg(F.count(F.lit(1)).alias("k"))
+    k = F.col("k")
     counted = values.groupBy("column_name").agg(
         F.sum(k).alias("n"),
         F.coalesce(F.sum(F.when(F.col("text").isNull(), k)), F.lit(0)).alias("nulls"),
         F.count("text").alias("distinct_values"),
-        mean.alias("mean"),
-        F.min(x).alias("min"),
-        F.max(x).alias("max"),
     )
-    return counted.join(own, "column_name").select(
+    if not numeric:
+        moments = df.sparkSession.createDataFrame([], "c string, mean double, stddev double, min double, max double")
+    else:
+        known = F.col("n") > 0
+        moments = comoments(df, numeric).where("column_a = column_b").select(
+            F.col("column_a").alias("c"),
+            F.when(known, F.col("mean_a")).alias("mean"),
+            F.when(F.col("n") > 1, F.sqrt(F.greatest("var_a", F.lit(0.0)) / (F.col("n") - 1))).alias("stddev"),
+            F.when(known, F.col("min_a")).alias("min"),
+            F.when(known, F.col("max_a")).alias("max"),
+        )
+    return counted.join(moments, F.col("column_name") == F.col("c"), "left").select(
         "column_name", "n", "nulls", "distinct_values", "mean", "stddev", "min", "max"
     )
 
 
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every pair of columns, all in one aggregate."""
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
-    cells = [
-        F.struct(
-            F.lit(a).alias("column_a"),
-            F.lit(b).alias("column_b"),
-            F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias("correlation"),
-        )
-        for a, b in pairs
-    ]
-    return df.agg(F.array(*cells).alias("c")).select(F.inline("c"))
+    """Pearson correlation of every pair of columns over the rows that know both.
+
+    NULL where a column is constant over these rows. All pairs come from one matrix of co-moments.
+    """
+    place = {c: k for k, c in enumerate(columns)}
+    order = F.create_map(*[x for c, k in place.items() for x in (F.lit(c), F.lit(k))])
+
+    def varies(x: str) -> Column:
+        # what rounding leaves of a constant column is no spread
+        size = F.greatest(F.abs(f"min_{x}"), F.abs(f"max_{x}"))
+        return (F.col(f"min_{x}") < F.col(f"max_{x}")) & (F.col(f"var_{x}") > F.col("n") * F.pow(size * 1e-15, F.lit(2)))
+
+    spread = F.sqrt(F.col("var_a")) * F.sqrt(F.col("var_b"))
+    bounded = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("covar") / spread))
+    value = F.when(varies("a") & varies("b"), bounded)
+    pairs = comoments(df, columns).where(order[F.col("column_a")] < order[F.col("column_b")])
+    return pairs.select("column_a", "column_b", value.alias("correlation"))
 
 
 def metrics(
@@ -205,112 +200,66 @@ def metrics(
 
 
 def _curve(scores: DataFrame, keys: Sequence[str], label: str, probability: str) -> DataFrame:
-    """Per model and distinct score, best first: own counts, counts before it, and totals.
+    """Per model and distinct score, best first: own counts, counts up to it, and totals.
 
-    Rows without a score or a label are left out. Running sums take two steps, so that no task
-    holds all scores of a model: sums over ranges of scores, then sums inside a range.
+    Rows without a score or a label are left out.
     """
     p = F.col(probability).cast("double")
     usable = scores.where(F.col(label).isNotNull() & p.isNotNull() & ~F.isnan(p))
     counted = usable.groupBy(*keys, p.alias("score")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg")
     )
-    counted = materialised(counted, "curve")
-    parts = max(1, -(-counted.count() // SCORES_PER_PART))
-    if parts == 1:
-        ranged = counted.withColumn("part", F.lit(0))
-    else:
-        # Ranges of about equal numbers of distinct scores; the bounds need not be exact.
-        at = [k / parts for k in range(1, parts)]
-        bounds = counted.agg(F.percentile_approx("score", at, 10 * parts).alias("b")).first()["b"]
-        ranged = counted.withColumn(
-            "part", -F.size(F.filter(F.array(*[F.lit(float(b)) for b in bounds]), lambda b: b < F.col("score")))
-        )
-    same = [F.col(k).eqNullSafe(F.col(f"{k}__s")) for k in keys] + [F.col("part") == F.col("part__s")]
-    whole = Window.partitionBy(*keys)
-    sums = ranged.groupBy(*keys, "part").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
-    sums = sums.select(
-        *[F.col(k).alias(f"{k}__s") for k in keys],
-        F.col("part").alias("part__s"),
-        (F.sum("p").over(whole.orderBy("part")) - F.col("p")).alias("before_pos"),
-        (F.sum("n").over(whole.orderBy("part")) - F.col("n")).alias("before_neg"),
-        F.sum("p").over(whole).alias("all_pos"),
-        F.sum("n").over(whole).alias("all_neg"),
-    )
-    joined = ranged.join(sums, reduce(Column.__and__, same))
-    upto = Window.partitionBy(*keys, "part").orderBy(F.desc("score"))
-    return joined.select(
-        *keys,
-        "score",
-        "pos",
-        "neg",
-        (F.col("before_pos") + F.sum("pos").over(upto)).alias("tp"),
-        (F.col("before_neg") + F.sum("neg").over(upto)).alias("fp"),
-        "all_pos",
-        "all_neg",
-    )
+    upto, whole = {"tp": "pos", "fp": "neg"}, {"all_pos": "pos", "all_neg": "neg"}
+    return running_sums(counted, keys, [F.desc("score")], upto, whole)
 
 
-def roc_auc(
+def areas(
     scores: DataFrame,
     keys: Sequence[str] = ("model",),
     label: str = "label",
     probability: str = "probability",
 ) -> DataFrame:
-    """Exact area under the ROC curve; equal scores count half."""
-    curve = _curve(scores, keys, label, probability)
-    ahead = F.col("tp") - F.col("pos") / F.lit(2.0)
-    area = F.sum(F.col("neg") * ahead)
+    """``roc_auc`` and ``pr_auc`` per model from one curve, both exact.
+
+    ROC: equal scores count half. Precision-recall: trapezoids, the first precision held to
+    recall 0; a slice needs the precision of the score before it, which follows from its own counts.
+    """
+    tp, fp, pos, neg = (F.col(c) for c in ("tp", "fp", "pos", "neg"))
+    precision = tp / (tp + fp)
+    before = F.coalesce(F.try_divide(tp - pos, tp - pos + fp - neg), precision)
+    width = F.try_divide(pos.cast("double"), F.col("all_pos"))
     pairs = F.max("all_pos").cast("double") * F.max("all_neg")
-    return curve.groupBy(*keys).agg(F.try_divide(area, pairs).alias("roc_auc"))
+    return _curve(scores, keys, label, probability).groupBy(*keys).agg(
+        F.try_divide(F.sum(neg * (tp - pos / F.lit(2.0))), pairs).alias("roc_auc"),
+        F.sum(width * (precision + before) / 2).alias("pr_auc"),
+    )
 
 
-def pr_auc(
-    scores: DataFrame,
-    keys: Sequence[str] = ("model",),
-    label: str = "label",
-    probability: str = "probability",
-) -> DataFrame:
-    """Area under the precision-recall curve (trapezoids, first precision held to recall 0).
+def roc_auc(scores: DataFrame, keys: Sequence[str] = ("model",), **columns: str) -> DataFrame:
+    """Exact area under the ROC curve."""
+    return areas(scores, keys, **columns).drop("pr_auc")
 
-    A slice needs the precision of the score before it, which follows from its own counts.
-    """
-    curve = _curve(scores, keys, label, probability)
-    tp, fp = F.col("tp"), F.col("fp")
-    precision = tp / (tp + fp)
-    tp_before, fp_before = tp - F.col("pos"), fp - F.col("neg")
-    previous = F.coalesce(F.try_divide(tp_before, tp_before + fp_before), precision)
-    width = F.try_divide(F.col("pos").cast("double"), F.col("all_pos"))
-    slices = curve.select(*keys, (width * (precision + previous) / 2).alias("area"))
-    return slices.groupBy(*keys).agg(F.sum("area").alias("pr_auc"))
+
+def pr_auc(scores: DataFrame, keys: Sequence[str] = ("model",), **columns: str) -> DataFrame:
+    """Area under the precision-recall curve."""
+    return areas(scores, keys, **columns).drop("roc_auc")
 
 
 def leaderboard(trials: DataFrame, metric: str, top: int | None = None) -> DataFrame:
     """The runs of each experiment by one metric, with their rank; all of them unless ``top``.
 
-    Equal values share no rank: the smaller run id comes first. A rank is the number of runs with
-    a better value, from counts per value, plus the place among runs of the same value. With a
+    Equal values share no rank: the smaller run id comes first. A rank is a running count over
+    ranges of (value, run id), so that an experiment of any size is spread over tasks. With a
     limit, every task drops all but its own ``top`` runs before the shuffle instead.
     """
     known = trials.where((F.col("metric") == metric) & F.col("value").isNotNull())
     columns = ("experiment", "rank", "run_id", "model_family", "value")
-    best = Window.partitionBy("experiment").orderBy(F.col("value").desc())
+    order = [F.col("value").desc(), F.col("run_id").asc()]
     if top is not None:
-        first = F.row_number().over(best.orderBy(F.col("value").desc(), "run_id"))
+        first = F.row_number().over(Window.partitionBy("experiment").orderBy(*order))
         return known.withColumn("rank", first).where(F.col("rank") <= top).select(*columns)
-    counts = known.groupBy("experiment", "value").agg(F.count(F.lit(1)).alias("same"))
-    before = counts.select(
-        F.col("experiment").alias("e"),
-        F.col("value").alias("v"),
-        (F.sum("same").over(best) - F.col("same")).alias("better"),
-    )
-    inside = Window.partitionBy("experiment", "value").orderBy("run_id")
-    ranked = (
-        known.withColumn("place", F.row_number().over(inside))
-        .join(before, F.col("experiment").eqNullSafe(F.col("e")) & (F.col("value") == F.col("v")))
-        .withColumn("rank", (F.col("better") + F.col("place")).cast("int"))
-    )
-    return ranked.select(*columns)
+    ranked = running_sums(known.withColumn("_one", F.lit(1)), ["experiment"], order, {"rank": "_one"})
+    return ranked.withColumn("rank", F.col("rank").cast("int")).select(*columns)
 
 
 def best_trial(

@@ -9,6 +9,7 @@ from an existing table.
 from __future__ import annotations
 
 from datetime import date, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -153,9 +154,11 @@ ZONE = "UTC"
 ROWS_PER_TASK = 1_000_000
 
 
-def fan_out(plan: DataFrame, count: str = "k", ordinal: str = "i") -> DataFrame:
+def fan_out(plan: DataFrame, count: str = "k", ordinal: str = "i", events: float = 0) -> DataFrame:
     """One row per event: ordinals ``1 .. count`` for every row of the plan.
 
+    ``events`` is about how many there will be; more of them go to more tasks.
+
     The Pareto tail gives single users a large part of all events. Each count is
     first cut into about sqrt(count) chunks, the chunks are spread over the cluster, and
     only then expanded, so no task unrolls a whole heavy user.
@@ -169,7 +172,6 @@ def fan_out(plan: DataFrame, count: str = "k", ordinal: str = "i") -> DataFrame:
     first = F.col("_chunk") * F.col("_size") + 1
     last = F.least(first + F.col("_size") - 1, k)
     # A stated number of partitions: these few rows grow, so none may be merged away.
-    events = plan.agg(F.sum(k)).first()[0] or 0
     least = int(plan.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tasks = max(least, -(-int(events) // ROWS_PER_TASK))
     spread = chunked.repartition(tasks, F.col(plan.columns[0]), F.col("_chunk"))
@@ -247,7 +249,8 @@ def event_days(
     ids: DataFrame, today: date, events_per_user: float = EVENTS_PER_USER, seed: int = RANDOM_SEED
 ) -> DataFrame:
     """One row per event with its draws and ``days_ago``."""
-    rows = fan_out(event_plan(ids, today, events_per_user, seed))
+    # A count of keys reads no more than the keys; the plan itself runs once.
+    rows = fan_out(event_plan(ids, today, events_per_user, seed), events=events_per_user * ids.count())
     drawn = draws.with_uniforms(rows, ["n", "i"], EVENT_DRAWS, seed)
     placed = drawn.withColumn("offset_days", base_offset(F.col("event_offset")))
     days = shifted_offset(
@@ -349,33 +352,46 @@ def invariants(
 ) -> DataFrame:
     """Violations per rule of the generated tables; every count must be zero."""
 
-    def rule(name: str, df: DataFrame, broken: Column | None = None) -> DataFrame:
-        count = F.count(F.lit(1)) if broken is None else F.count_if(broken)
-        return df.agg(count.alias("violations")).select(F.lit(name).alias("rule"), "violations")
-
-    def orphans(df: DataFrame, parent: DataFrame, key: str) -> DataFrame:
-        # Distinct keys first: a key with very many rows is checked once.
-        return df.select(key).distinct().join(parent.select(key), key, "left_anti")
+    def rules(df: DataFrame, **broken: Column) -> DataFrame:
+        """One row per rule, all from one aggregate of the table."""
+        cells = [F.struct(F.lit(n).alias("rule"), F.count_if(c).alias("violations")) for n, c in broken.items()]
+        return df.agg(F.array(*cells).alias("r")).select(F.inline("r"))
 
-    first = events.groupBy("user_id").agg(F.min("event_ts").alias("first_ts"))
-    early = first.join(users_.select("user_id", "signup_date"), "user_id").where(
-        F.col("first_ts").cast("date") < F.col("signup_date")
-    )
     p, minutes, stars = F.col("progress_pct"), F.col("session_minutes"), F.col("rating")
-    checks = [
-        rule("event_user_exists", orphans(events, users_, "user_id")),
-        rule("event_book_exists", orphans(events, books_, "book_id")),
-        rule("subscription_user_exists", orphans(subs, users_, "user_id")),
-        rule("event_after_signup", early),
-        rule("progress_range", events, ~p.between(0, 1)),
-        rule("session_range", events, ~minutes.between(*SESSION_RANGE)),
-        rule("rating_range", events, ~stars.between(1, 5)),
-        rule("finished_means_progress", events, F.col("finished") != (p >= 0.95)),
-        rule("length_range", books_, ~F.col("length_minutes").between(*LENGTH_RANGE)),
-        rule("period_order", subs, F.col("end_date") < F.col("start_date")),
-        rule("reason_means_end", subs, F.col("end_date").isNull() != F.col("cancel_reason").isNull()),
+    # Per user and per book first: parents are joined to a row per key, not per event.
+    by_user = events.groupBy("user_id").agg(
+        F.min("event_ts").alias("first_ts"),
+        F.count_if(~p.between(0, 1)).alias("progress"),
+        F.count_if(~minutes.between(*SESSION_RANGE)).alias("session"),
+        F.count_if(~stars.between(1, 5)).alias("stars"),
+        F.count_if(F.col("finished") != (p >= 0.95)).alias("finished"),
+    )
+    known = users_.select("user_id", "signup_date")
+    of_users = by_user.join(known.withColumn("_known", F.lit(True)), "user_id", "left").agg(
+        F.count_if(F.col("_known").isNull()).alias("event_user_exists"),
+        F.count_if(F.col("first_ts").cast("date") < F.col("signup_date")).alias("event_after_signup"),
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(n) for c, n in (
+            ("progress", "progress_range"), ("session", "session_range"), ("stars", "rating_range"),
+            ("finished", "finished_means_progress"))],
+    )
+    names = of_users.columns
+    of_events = of_users.select(
+        F.inline(F.array(*[F.struct(F.lit(n).alias("rule"), F.col(n).alias("violations")) for n in names]))
+    )
+
+    def orphans(df: DataFrame, parent: DataFrame, key: str, name: str) -> DataFrame:
+        found = df.select(key).distinct().join(parent.select(key), key, "left_anti")
+        return found.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(name).alias("rule"), "violations")
+
+    parts = [
+        of_events,
+        orphans(events, books_, "book_id", "event_book_exists"),
+        orphans(subs, users_, "user_id", "subscription_user_exists"),
+        rules(books_, length_range=~F.col("length_minutes").between(*LENGTH_RANGE)),
+        rules(
+            subs,
+            period_order=F.col("end_date") < F.col("start_date"),
+            reason_means_end=F.col("end_date").isNull() != F.col("cancel_reason").isNull(),
+        ),
     ]
-    result = checks[0]
-    for c in checks[1:]:
-        result = result.unionByName(c)
-    return result
+    return reduce(DataFrame.unionByName, parts)

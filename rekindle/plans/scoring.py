@@ -8,7 +8,6 @@ from operator import add
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,7 +15,7 @@ from rekindle.contracts import KEY, LABEL
 from rekindle.functions import payload_json
 from rekindle.operators.projections import exclude_columns
 from rekindle.operators.ranking import sample
-from rekindle.plans.training import positive_probability, typed
+from rekindle.plans.registry import Fitted
 from rekindle.sources.tables import overwrite_table
 
 # A model fixed by hand, for scoring paths that need no training.
@@ -82,14 +81,9 @@ def score_with_expression(
     return table.withColumn("prediction", linear_probability(coefficients, intercept))
 
 
-def score_batch(table: DataFrame, model: PipelineModel) -> DataFrame:
-    """All input columns plus ``prediction``: the fitted pipeline's positive probability.
-
-    The input columns pass through beside the typed copies the pipeline works on.
-    """
-    packed = table.select(F.struct(*table.columns).alias("_row"), *table.columns)
-    scored = positive_probability(model.transform(typed(packed)))
-    return scored.select("_row.*", F.col("probability").alias("prediction"))
+def score_batch(table: DataFrame, model: Fitted) -> DataFrame:
+    """All input columns, then the class ``prediction`` and ``probability`` of a fitted model."""
+    return model.score(table)
 
 
 def score_sample(

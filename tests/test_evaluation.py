@@ -1,8 +1,10 @@
 from __future__ import annotations
 
 import math
+import random
 from datetime import datetime
 
+import numpy as np
 import pytest
 from conftest import plan_of
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -125,13 +127,49 @@ def test_rare_positives_rank_perfectly(spark):
     """Scores far below one another's usual spacing are still told apart, in any number of parts."""
     rows = [("m", 1 if k < 100 else 0, 0.001 - k * 1e-7) for k in range(2000)]
     scores = spark.createDataFrame(rows, "model string, label int, probability double")
-    for size in (50, 10**6):
-        evaluation.SCORES_PER_PART, before = size, evaluation.SCORES_PER_PART
-        try:
-            assert evaluation.roc_auc(scores).first().roc_auc == 1.0
-            assert abs(evaluation.pr_auc(scores).first().pr_auc - 1.0) < 1e-9
-        finally:
-            evaluation.SCORES_PER_PART = before
+    for parts in (1, 7):
+        dealt = scores.repartition(parts)
+        assert evaluation.roc_auc(dealt).first().roc_auc == 1.0
+        assert abs(evaluation.pr_auc(dealt).first().pr_auc - 1.0) < 1e-9
+
+
+def test_areas_over_many_ranges(spark):
+    """Models of any size, ties included, against all pairs; the wide one is spread over tasks."""
+    rng = random.Random(4)
+    rows = [(m, rng.randrange(2), rng.randrange(k) / 1000) for m, k, n in (("wide", 10**6, 3000), ("tied", 5, 500), (None, 50, 200)) for _ in range(n)]
+    scores = spark.createDataFrame(rows, "model string, label int, probability double")
+    for r in evaluation.areas(scores).collect():
+        one = [p for m, y, p in rows if m == r.model and y == 1]
+        none = [p for m, y, p in rows if m == r.model and y == 0]
+        wins = sum((a > b) + 0.5 * (a == b) for a in one for b in none)
+        assert r.roc_auc == pytest.approx(wins / len(one) / len(none))
+    board = spark.createDataFrame(
+        [("e", f"r{k:04d}", "f", "m", float(k % 7)) for k in range(2000)] + [(None, "x", "f", "m", 1.0)],
+        "experiment string, run_id string, model_family string, metric string, value double",
+    )
+    ranks = {(r.experiment, r.run_id): r["rank"] for r in evaluation.leaderboard(board, "m").collect()}
+    order = sorted(range(2000), key=lambda k: (-(k % 7), k))
+    assert all(ranks["e", f"r{k:04d}"] == place + 1 for place, k in enumerate(order)) and ranks[None, "x"] == 1
+
+
+def test_comoments_merge_like_one_pass(spark):
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(600, 3)) + np.array([1.7e12, 0.0, 5.0])
+    x[:, 2] = x[:, 0] - 1.7e12 + 0.1 * x[:, 1]
+    x[::7, 1] = np.nan
+    x[300:, 2] = np.nan
+    rows = [[None if np.isnan(v) else float(v) for v in r] + [4.5, None] for r in x]
+    df = spark.createDataFrame(rows, "a double, b double, c double, flat double, none double").repartition(9)
+    found = {(r.column_a, r.column_b): r.correlation for r in evaluation.correlations(df, df.columns).collect()}
+    for i, j in ((0, 1), (0, 2), (1, 2)):
+        known = ~np.isnan(x[:, i]) & ~np.isnan(x[:, j])
+        expected = np.corrcoef(x[known, i] - np.nanmean(x[:, i]), x[known, j])[0, 1]
+        assert found["abc"[i], "abc"[j]] == pytest.approx(expected, abs=1e-4 if i == 0 else 1e-9)
+    assert all(v is None for k, v in found.items() if "flat" in k or "none" in k) and len(found) == 10
+    assert evaluation.correlations(df.limit(0), ["a", "b"]).collect() == []
+    profile = {r.column_name: r for r in evaluation.profile_columns(df, ["a", "flat", "none"]).collect()}
+    assert profile["a"].stddev == pytest.approx(np.std(x[:, 0] - 1.7e12, ddof=1), rel=1e-3)
+    assert (profile["flat"].stddev, profile["none"]["mean"], profile["none"].nulls) == (0.0, None, 600)
 
 
 def test_missing_scores_and_labels_count_nowhere(spark):

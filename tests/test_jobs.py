@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+import math
+from datetime import date, datetime
 
+import numpy as np
 import pytest
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from rekindle.catalog.features import feature_table
 from rekindle.contracts import FEATURE_TABLE_COLUMNS
-from rekindle.plans import scoring, training
+from rekindle.plans import generate, scoring, training
+from rekindle.plans.features import customer_features
+from rekindle.plans.preparation import Preparation, dictionary
+from rekindle.plans.registry import Fitted, Registry
 from rekindle.session import scratch_path
 from rekindle.sources import views
 from rekindle.sources.tables import materialised
@@ -55,32 +62,164 @@ def features(spark):
     return materialised(feature_table(spark, "/root/testdata/sf0.01"), "features")
 
 
-def test_search_scores_and_picks(features):
+@pytest.fixture(scope="module")
+def search(features):
     grid = (
-        ("logistic_regression", {"regParam": 0.01, "maxIter": 5}),
+        ("logistic_regression", {"regParam": 0.0, "maxIter": 200, "tol": 1e-9}),
         ("random_forest", {"numTrees": 3, "maxDepth": 3, "seed": 1}),
+        ("naive_bayes", {"modelType": "gaussian"}),
     )
-    search = training.train_trials(features, grid)
+    return training.train_trials(features, grid)
+
+
+def test_search_scores_and_picks(features, search):
     rows = search.trials.collect()
-    assert len(rows) == 2 * 2 * len(training.METRICS)
+    assert len(rows) == 3 * 2 * len(training.METRICS)
     assert all(r.value is not None for r in rows)
     auc = {(r.run_id, r.metric): r.value for r in rows}
     assert all(0 <= v <= 1 for k, v in auc.items() if "log_loss" not in k[1])
     best = training.best_run(search, ("val_roc_auc",))
     assert auc[best, "val_roc_auc"] == max(auc[r, "val_roc_auc"] for r in search.models)
+    assert training.best_run(search) == max(search.models, key=lambda r: (auc[r, "val_f1_score"], r))
     scored = scoring.score_batch(features, search.models[best])
-    assert scored.columns == [*FEATURE_TABLE_COLUMNS, "prediction"]
+    assert scored.columns == [*FEATURE_TABLE_COLUMNS, "prediction", "probability"]
     assert scored.schema["total_events"].dataType == features.schema["total_events"].dataType
-    ends = scored.agg(F.count("prediction"), F.min("prediction"), F.max("prediction")).first()
+    ends = scored.agg(F.count("probability"), F.min("probability"), F.max("probability")).first()
     assert ends[0] == features.count() and 0 <= ends[1] < ends[2] <= 1
 
 
-def test_unseen_categories_and_missing_numbers_are_scored(features):
-    model = training.preparation().fit(training.typed(features))
+def test_stored_metrics_follow_from_written_scores(search):
+    rows = [r for r in search.scores.collect() if r.run_id == "run_001" and r.split == "test"]
+    value = {r.metric: r.value for r in search.trials.where("run_id = 'run_001'").collect()}
+    y, p = np.array([r.label for r in rows]), np.array([r.probability for r in rows])
+    assert value["test_accuracy"] == pytest.approx(np.mean((p >= 0.5) == (y == 1)))
+    assert value["test_log_loss"] == pytest.approx(-np.mean(np.log(np.where(y == 1, p, 1 - p))))
+    one, none = p[y == 1][:, None], p[y == 0]
+    assert value["test_roc_auc"] == pytest.approx(np.mean((one > none) + 0.5 * (one == none)))
+
+
+def test_unregularised_fit_is_an_optimum(search):
+    train = search.ready.where("split = 'train'")
+    found = {r.position: r.gradient for r in training.logistic_gradient(train, search.models["run_000"]).collect()}
+    assert max(map(abs, found.values())) < 1e-5 and -1 in found
+    rows = train.select("label", vector_to_array("features").alias("x")).collect()
+    x, y = np.array([r.x for r in rows]), np.array([r.label for r in rows])
+    model = search.models["run_000"].classifier
+    p = 1 / (1 + np.exp(-(x @ model.coefficients.toArray() + model.intercept)))
+    direct = (p - y) @ x / len(y) / np.where(x.std(axis=0) > 0, x.std(axis=0, ddof=1), 1)
+    assert [found[k] for k in range(x.shape[1])] == pytest.approx(direct.tolist(), abs=1e-9)
+    away = model.copy()
+    off = training.logistic_gradient(train, Fitted(search.models["run_000"].preparation, _moved(away)))
+    assert off.agg(F.max(F.abs("gradient"))).first()[0] > 1e-3
+
+
+def _moved(model):
+    """The same model with another intercept, built through its stored form."""
+    spark = SparkSession.getActiveSession()
+    path = scratch_path(spark, "moved")
+    model.save(path)
+    data = spark.read.parquet(f"{path}/data")
+    data.withColumn("interceptVector", array_to_vector(F.array(F.lit(3.0)))).write.parquet(f"{path}-2/data")
+    spark.read.text(f"{path}/metadata").write.text(f"{path}-2/metadata")
+    return type(model).load(f"{path}-2")
+
+
+def test_unseen_categories_and_missing_numbers_are_scored(spark, features):
+    path = scratch_path(spark, "preparation")
+    fitted = Preparation.fit(features, path)
     odd = features.limit(5).withColumns(
         {"region": F.lit("ATLANTIS"), "top_genre": F.lit(None).cast("string"), "pct_ebook": F.lit(None).cast("double")}
     )
-    assert model.transform(training.typed(odd)).where(F.col("features").isNotNull()).count() == 5
+    out = Preparation.load(spark, path).transform(odd)
+    assert out.columns == [*odd.columns, "features"]
+    slots = {(r.column_name, r.value): r.position for r in fitted.slots(spark).collect()}
+    mean = features.agg(F.avg("pct_ebook")).first()[0]
+    for row in out.select(vector_to_array("features").alias("x")).collect():
+        assert len(row.x) == len(slots)
+        assert row.x[slots["region", None]] == 1 and row.x[slots["top_genre", None]] == 1
+        assert row.x[slots["pct_ebook", None]] == pytest.approx(mean)
+        assert sum(row.x[k] for (c, _), k in slots.items() if c == "region") == 1
+
+
+def test_dictionary_ranks_by_count_then_name(spark, frame):
+    df = frame([("b", None), ("a", None), ("b", None), ("c", None), ("a", None), (None, None), ("É", None)], "x string, y string")
+    got = dictionary(df, ["x", "y"]).orderBy("place").collect()
+    assert [tuple(r) for r in got] == [("x", "a", 2, 0), ("x", "b", 2, 1), ("x", "c", 1, 2), ("x", "É", 1, 3)]
+    assert dictionary(df.limit(0), ["x"]).collect() == []
+    empty = Preparation.fit(df.limit(0), scratch_path(spark, "none"), [], [], ["x"])
+    assert [r.features.toArray().tolist() for r in empty.transform(df).collect()] == [[1.0]] * 7
+
+
+def test_many_categories_are_ranked_without_the_driver(spark):
+    many = spark.range(300_000).select(F.md5(F.col("id").cast("string")).alias("x"))
+    ranked = dictionary(many, ["x"])
+    ends = ranked.agg(F.count("*"), F.min("place"), F.max("place"), F.countDistinct("place")).first()
+    assert tuple(ends) == (300_000, 0, 299_999, 300_000)
+    assert ranked.where("place = 7").first().value == many.orderBy("x").collect()[7].x
+
+
+def test_models_outlive_their_session(spark, features, search):
+    path = scratch_path(spark, "registry")
+    registry = Registry(spark, path)
+    assert registry.versions().count() == 0 and registry.resolved().count() == 0
+    with pytest.raises(RuntimeError, match="alias"):
+        registry.load("m")
+    for run in ("run_000", "run_002"):
+        registry.register("m", search.models[run], run, "some")
+    registry.assign("m", "Champion", 1)
+    registry.assign("m", "Challenger", 2)
+    with pytest.raises(ValueError, match="version 9"):
+        registry.assign("m", "Champion", 9)
+    fresh = Registry(spark.newSession(), path)  # knows the path only
+    for alias, run in (("Champion", "run_000"), ("Challenger", "run_002")):
+        again = fresh.load("m", alias).score(features).select("user_id", "prediction", "probability")
+        before = search.models[run].score(features).select("user_id", "prediction", "probability")
+        assert sorted(again.collect()) == sorted(before.collect())
+    fresh.assign("m", "Champion", 2)
+    assert {(r.version, r.aliases) for r in registry.listing().collect()} == {(1, "-"), (2, "Challenger, Champion")}
+    both = fresh.scored_by("m", features).groupBy("model").agg(F.sum("probability").alias("p")).collect()
+    assert both[0].p == pytest.approx(both[1].p)
+
+
+def test_a_registered_model_recomputes_from_its_coefficients(spark, features, search):
+    registry = Registry(spark, scratch_path(spark, "registry"))
+    registry.assign("m", "Champion", registry.register("m", search.models["run_000"], "run_000", "logistic_regression"))
+    fitted = registry.load("m")
+    weights = fitted.classifier.coefficients.toArray()
+    slots = {(r.column_name, r.value): r.position for r in fitted.preparation.slots(spark).collect()}
+    means = {c: features.agg(F.avg(c)).first()[0] for c in fitted.preparation.numeric}
+    for row in fitted.score(features).limit(50).collect():
+        z = fitted.classifier.intercept
+        z += sum(weights[slots[c, None]] * (means[c] if row[c] is None else row[c]) for c in fitted.preparation.numeric)
+        z += sum(weights[slots[c, None]] * bool(row[c]) for c in fitted.preparation.flags)
+        z += sum(weights[slots.get((c, row[c]), slots[c, None])] for c in fitted.preparation.categorical)
+        assert row.probability == pytest.approx(1 / (1 + math.exp(-z)))
+        assert row.prediction == int(row.probability > 0.5)
+
+
+def test_generated_users_go_all_the_way_to_scores(spark):
+    """Tables of the generator, with keys of text, through features, training, storage and scoring."""
+    today = date(2024, 6, 1)
+    ids, titles = generate.keys(spark, 3000), generate.keys(spark, 100)
+    table = materialised(
+        customer_features(
+            generate.users(ids, today),
+            generate.books(titles),
+            generate.reading_events(ids, titles, today, events_per_user=20),
+            generate.subscriptions(ids, today),
+            date(2024, 5, 2),
+        ),
+        "generated",
+    )
+    assert table.columns == list(FEATURE_TABLE_COLUMNS) and table.schema["user_id"].dataType.typeName() == "string"
+    found = training.train_trials(table, (("logistic_regression", {"regParam": 0.01}),))
+    registry = Registry(spark, scratch_path(spark, "registry"))
+    registry.assign("m", "Champion", registry.register("m", found.models["run_000"], "run_000", "logistic_regression"))
+    scored = registry.load("m").score(table)
+    assert scored.count() == table.count() > 100
+    assert scored.where("probability is null or probability < 0 or probability > 1").isEmpty()
+    known = {r.metric: r.value for r in found.trials.collect()}
+    assert known["test_roc_auc"] is not None and known["val_log_loss"] < 1
 
 
 def test_udf_and_expression_agree(features):

@@ -9,8 +9,10 @@ by blocks of columns:
 2. First block: the rarest ``n - ceil(0.85 n) + 1`` columns of each row, by one order of all
    columns. Linked rows share one of them. A pair that first meets in column ``i`` of one row and
    ``j`` of the other overlaps at most ``1 + min(n_a - i - 1, n_b - j - 1)`` times; pairs for which
-   that bound is too small are discarded where they meet. The order comes from a table of column
-   counts of fixed size; any order is right, it only decides how many pairs meet.
+   that bound is too small are discarded. Overlap counts of the first block are added up per pair;
+   where they and the columns that come after the block can't reach the overlap needed, the pair
+   is discarded as well. The order comes from a table of column counts of fixed size; any order is
+   right, it only decides how many pairs meet.
 3. Surviving pairs: the whole rows, cut in column blocks, are multiplied block by block and the
    overlap counts added up per pair.
 
@@ -208,16 +210,56 @@ def _incidence(slim: DataFrame, width: int) -> DataFrame:
     return slim.select("text").mapInArrow(run, "node binary, block int, columns array<bigint>")
 
 
+def _needed(percent: int) -> Column:
+    """(100 + percent) times the least overlap of linked rows ``a`` and ``b``."""
+    return percent * (F.col("n_a") + F.col("n_b"))
+
+
 def _may_link(percent: int) -> Column:
-    """The size-derived bound for rows ``a`` and ``b`` that meet first at their places in a column."""
-    most = F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b"))
-    return (100 + percent) * most >= percent * (F.col("n_a") + F.col("n_b"))
+    """The size-derived bound for rows that meet first at their places in a column."""
+    return (100 + percent) * F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b")) >= _needed(percent)
+
+
+def _may_share(percent: int) -> Column:
+    """The bound for rows that meet anywhere: what may come before, and what is left."""
+    rest = F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b"))
+    return (100 + percent) * (F.least("pos_a", "pos_b") + rest) >= _needed(percent)
+
+
+def _first_block_enough(shared: Column, percent: int) -> Column:
+    """The bound after the first block: what is shared there, and all columns that one has left."""
+    rest = F.greatest(*[F.ceil(F.col(n) * percent / 100) - 1 for n in ("n_a", "n_b")])
+    return (100 + percent) * (shared + rest) >= _needed(percent)
 
 
 def _side(rows: DataFrame, name: str) -> DataFrame:
     return rows.select("key", *[F.col(c).alias(f"{c}_{name}") for c in rows.columns if c != "key"])
 
 
+def _met(sparse: DataFrame, crowded: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``(a, b, both)`` that the product over the first block's sparse columns leaves.
+
+    Crowded columns are not multiplied here: as many as both rows have may be shared besides.
+    """
+    pairs = (
+        _side(sparse, "a")
+        .join(_side(sparse, "b"), "key")
+        .filter("num_a < num_b")
+        .filter(_may_share(percent))
+        .groupBy("num_a", "num_b", "n_a", "n_b")
+        .agg(F.count(F.lit(1)).alias("shared"), F.max(_may_link(percent)).alias("first"))
+    )
+    for name in ("a", "b"):
+        own = crowded.select(F.col("num").alias(f"num_{name}"), F.col("crowded").alias(f"crowded_{name}"))
+        pairs = pairs.join(own, f"num_{name}", "left")
+    more = F.least(*[F.coalesce(f"crowded_{x}", F.lit(0)) for x in ("a", "b")])
+    # the column in which they meet first may be a crowded one
+    enough = (F.col("first") | (more > 0)) & _first_block_enough(F.col("shared") + more, percent)
+    return pairs.filter(enough).select(
+        F.col("num_a").alias("a"), F.col("num_b").alias("b"), (F.col("n_a") + F.col("n_b")).alias("both")
+    )
+
+
 def _ordered(pairs: DataFrame) -> DataFrame:
     swap = F.col("num_a") > F.col("num_b")
 
@@ -247,18 +289,20 @@ def _multiplied(pairs: DataFrame, matrix: DataFrame, percent: int) -> DataFrame:
 
 
 def _crowded_links(dense: DataFrame, links: DataFrame, matrix: DataFrame, percent: int) -> DataFrame:
-    """``links`` and those that connect the rows of crowded columns ``(key, num, n, pos)``."""
+    """``links`` and those that connect the rows of crowded columns ``(key, num, n, pos, crowded)``."""
     least = dense.groupBy("key").agg(F.min("n").alias("least"))
     # too far behind for any row of the column: no partner left
     room = F.col("n") - F.col("pos")
     open_ = (100 + percent) * room >= percent * (F.col("n") + F.greatest("least", room))
-    rows = written(dense.join(least, "key").filter(open_).select("key", "num", "n", "pos"), "ngram-crowded")
+    rows = written(dense.join(least, "key").filter(open_).select("key", "num", "n", "pos", "crowded"), "ngram-crowded")
     todo, leaders = rows, 1
     while True:
         salt = F.pmod(F.xxhash64("num", F.lit(leaders)), F.lit(leaders))
-        chosen = todo.groupBy("key", salt.alias("salt")).agg(F.min(F.struct("pos", "num", "n")).alias("x"))
-        chosen = written(chosen.select("key", "x.num", "x.n", "x.pos"), "ngram-leaders")
+        chosen = todo.groupBy("key", salt.alias("salt")).agg(F.min(F.struct("pos", "num", "n", "crowded")).alias("x"))
+        chosen = written(chosen.select("key", "x.*"), "ngram-leaders")
         pairs = _side(rows, "a").join(_side(chosen, "b"), "key").filter("num_a <> num_b").filter(_may_link(percent))
+        # pairs that share a sparse column have met there; the others share crowded ones alone
+        pairs = pairs.filter(_first_block_enough(F.least("crowded_a", "crowded_b"), percent))
         if leaders > 1:  # what is in one component needs no comparing
             part = roots.select(F.col("node").alias("num"), "root")
             for name in ("a", "b"):
@@ -274,7 +318,7 @@ def _crowded_links(dense: DataFrame, links: DataFrame, matrix: DataFrame, percen
         named = named.withColumn("root", F.coalesce("root", "num"))
         sizes = named.groupBy("key", "root").count()
         main = sizes.groupBy("key").agg(F.max(F.struct("count", "root"))["root"].alias("main"))
-        rest = named.join(main, "key").filter("root <> main").select("key", "num", "n", "pos")
+        rest = named.join(main, "key").filter("root <> main").select("key", "num", "n", "pos", "crowded")
         rest = rest.join(todo.select("key", "num"), ["key", "num"], "left_semi")
         todo = written(rest.join(chosen.select("key", "num"), ["key", "num"], "left_anti"), "ngram-todo")
         if todo.isEmpty():
@@ -295,8 +339,9 @@ def links(
     shared = written(posted.join(counts, "key"), "ngram-shared")
     sparse = shared.filter(F.col("count") <= CROWDED).drop("count")
     dense = shared.filter(F.col("count") > CROWDED).drop("count")
-    met = _side(sparse, "a").join(_side(sparse, "b"), "key").filter("num_a < num_b").filter(_may_link(percent))
-    pairs = written(_ordered(met), "ngram-pairs")
+    crowded = dense.groupBy("num").agg(F.count(F.lit(1)).alias("crowded"))
+    dense = written(dense.join(crowded, "num"), "ngram-dense")
+    pairs = written(_met(sparse, crowded, percent), "ngram-pairs")
     used = pairs.select(F.col("a").alias("num")).union(pairs.select("b")).union(dense.select("num")).distinct()
     wanted = written(nodes.join(used, "num", "left_semi"), "ngram-wanted")
     # the texts of these nodes: first by a bounded set of marks, then by node

@@ -42,11 +42,11 @@ from pyspark.sql import types as T
 from rekindle.llm.common import ragged_take, written
 
 K = 10
-SHARD = 4096
+SHARD = 2048
 BLOCK = 64
 SHORT = 8
 #: Bytes of a shard's vectors written out, which bound its size where items have many terms.
-DENSE_BYTES = 32 << 20
+DENSE_BYTES = 16 << 20
 ITEM_BYTES = 256 << 10
 #: Documents of an item's rarest terms from which its first bound comes, per result.
 FIRST = 50
@@ -67,7 +67,7 @@ def terms(text: bytes | None) -> list[bytes]:
 
 
 def _packed(values: np.ndarray) -> bytes:
-    return zlib.compress(np.ascontiguousarray(values).tobytes(), 1)
+    return zlib.compress(np.ascontiguousarray(values).data, 1)
 
 
 def _unpacked(data: bytes, kind=np.int32) -> np.ndarray:
@@ -218,7 +218,8 @@ def _index(vectors: DataFrame, size: int, documents: int, length: int, shard: in
                     firsts.append(a + own)
                     summaries.append(np.maximum.reduceat(dense[rows[a:b]], own, axis=0))
                     blocks[t + 1] = len(own)
-            none = np.zeros((0, size), np.uint8)
+            del dense
+            summaries = np.concatenate([*summaries, np.zeros((0, size), np.uint8)])
             values = {
                 "starts": starts.astype(np.int32),
                 "terms": found.astype(np.int32),
@@ -227,7 +228,7 @@ def _index(vectors: DataFrame, size: int, documents: int, length: int, shard: in
                 "rows": rows,
                 "blocks": np.cumsum(blocks).astype(np.int32),
                 "firsts": np.concatenate([*firsts, [len(rows)]]).astype(np.int32),
-                "summaries": np.concatenate([*summaries, none]),
+                "summaries": summaries,
                 "most": most,
             }
             columns = [pa.array([batch.column("id").to_pylist()], target.field("ids").type)]
@@ -290,8 +291,8 @@ def _searched(index: DataFrame, items, bounds, kind: T.DataType) -> DataFrame:
         bound = [max(1, b) for b in bounds.value]
         best: list[list] = [[] for _ in known.terms]
         for batch in batches:
-            for row in batch.to_pylist():
-                shard = Shard(row, known.size)
+            for k in range(batch.num_rows):  # a row is a whole shard
+                shard = Shard({c: batch.column(c)[k].as_py() for c in batch.schema.names}, known.size)
                 for item, at in enumerate(known.terms):
                     rows = shard.candidates(at, known.weights[item], bound[item])
                     if not len(rows):

@@ -17,13 +17,14 @@ from rekindle.sources.views import SNAPSHOT
 
 # --- sources and sinks -------------------------------------------------------------
 
-_NAMES = ("users", "books", "reading_events", "subscriptions")
+_NAMES = ("users", "books", "reading_events", "subscriptions", "payload")
 
 
 @query(using(" ".join(_NAMES), " UNION ALL ".join(
     f"SELECT '{n}' AS table_name, COUNT(*) AS n FROM {n}" for n in _NAMES)))
 def src_table_counts(spark: SparkSession, root: str) -> DataFrame:
-    return tables.table_counts({n: getattr(views, n)(spark, root) for n in _NAMES})
+    made = {n: getattr(views, "inference_payload" if n == "payload" else n)(spark, root) for n in _NAMES}
+    return tables.table_counts(made)
 
 
 _EVENT_TYPES = T.StructType([
@@ -516,9 +517,9 @@ def json_split_column(spark: SparkSession, root: str) -> DataFrame:
     return payload_json.split_column(views.inference_payload(spark, root), "events_last_90d")
 
 
-@query(using("payload", """SELECT request_id, CAST(CASE WHEN request LIKE '{"dataframe_split"%' THEN 2 END AS BIGINT)
-AS present_at, CAST(CASE WHEN request LIKE '{"dataframe_split"%' THEN 0 END AS BIGINT) AS absent_at
-FROM payload WHERE status_code = 200"""))
+@query(using("payload sent", """SELECT request_id, CAST(CASE WHEN cols IS NOT NULL THEN coalesce(list_position(cols, 'events_last_90d'), 0) END AS BIGINT)
+AS present_at, CAST(CASE WHEN cols IS NOT NULL THEN coalesce(list_position(cols, 'no_such_column'), 0) END AS BIGINT) AS absent_at
+FROM kinds_ WHERE status_code = 200"""))
 def arr_index_of(spark: SparkSession, root: str) -> DataFrame:
     parsed = payload_json.parsed_requests(views.inference_payload(spark, root), ["request_id"])
     columns = F.col("columns")

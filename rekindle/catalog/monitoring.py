@@ -112,9 +112,26 @@ def mon_drift_all(spark: SparkSession, root: str) -> DataFrame:
     return rounded(report, *_DRIFT_COLUMNS, digits=6)
 
 
-@query(using("payload", """SELECT COUNT(*) AS ok_requests,
-COUNT(*) FILTER (request NOT LIKE '{"dataframe_split"%') AS other_shape,
-COUNT(*) FILTER (request LIKE '{"dataframe_split"%' AND request NOT LIKE '%"events_last_90d"%') AS missing_column
-FROM payload WHERE status_code = 200"""))
+# Per request: its data rows, and among them those with the column, cut short of it, or with a number.
+_REASONS = """+ at_ AS (SELECT request_id, COUNT(*) AS named, COUNT(*) FILTER (short) AS short, COUNT(TRY_CAST(v AS DOUBLE)) AS numbers
+FROM cells_ WHERE column_name = 'events_last_90d' GROUP BY request_id),
+in_ AS (SELECT request_id, COUNT(*) AS n FROM rows_ GROUP BY request_id),
+why_ AS (SELECT CASE WHEN status_code IS DISTINCT FROM 200 THEN 'not_ok' WHEN request IS NULL THEN 'no_request' WHEN j IS NULL THEN 'broken'
+WHEN in_.n IS NULL AND data IS NULL AND (json_exists(j, '$.inputs') OR json_exists(j, '$.instances')) THEN 'no_names'
+WHEN in_.n IS NULL AND data IS NULL THEN 'other_shape' WHEN in_.n IS NULL THEN 'no_rows' WHEN named IS NULL THEN 'missing_column'
+WHEN numbers = 0 AND short > 0 THEN 'short_row' WHEN numbers = 0 THEN 'not_a_number' ELSE 'used' END AS reason,
+CASE WHEN status_code = 200 THEN coalesce(in_.n, 0) ELSE 0 END AS sent, CASE WHEN status_code = 200 THEN coalesce(numbers, 0) ELSE 0 END AS numbers
+FROM kinds_ LEFT JOIN at_ USING (request_id) LEFT JOIN in_ USING (request_id))"""
+
+
+@query(using("payload sent", _REASONS + """ SELECT COUNT(*) FILTER (reason <> 'not_ok') AS ok_requests,
+COUNT(*) FILTER (reason IN ('no_request', 'broken', 'no_names', 'other_shape')) AS other_shape,
+COUNT(*) FILTER (reason = 'missing_column') AS missing_column FROM why_"""))
 def mon_unparsed(spark: SparkSession, root: str) -> DataFrame:
     return monitoring.unparsed(views.inference_payload(spark, root), "events_last_90d")
+
+
+@query(using("payload sent", _REASONS + """ SELECT reason, COUNT(*) AS requests, SUM(sent)::BIGINT AS data_rows,
+SUM(numbers)::BIGINT AS usable_values FROM why_ GROUP BY reason"""))
+def mon_unparsed_reasons(spark: SparkSession, root: str) -> DataFrame:
+    return monitoring.unparsed_reasons(views.inference_payload(spark, root), "events_last_90d")

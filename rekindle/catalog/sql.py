@@ -31,24 +31,47 @@ _CTES = {
   SELECT CAST(event_id AS VARCHAR) AS request_id,
          CASE WHEN event_id % 3 = 0 THEN CAST(user_id AS VARCHAR) END AS client_request_id,
          CAST(ts AS DATE) AS request_date, epoch_us(ts) // 1000 AS timestamp_ms,
-         CASE WHEN event_type = 'error' THEN 500 ELSE 200 END AS status_code,
+         CASE WHEN event_id % 97 <> 7 THEN CASE WHEN event_type = 'error' THEN 500 ELSE 200 END END AS status_code,
          CAST(1.0 AS DOUBLE) AS sampling_fraction,
          CAST(ROUND(value * 10) AS BIGINT) AS execution_duration_ms,
          CASE WHEN event_id % 10 = 0 THEN '{"inputs":[[' || user_id || ',' || k || ']]}'
-              ELSE '{"dataframe_split":{"columns":["user_id","events_last_90d"],"data":[['
-                   || user_id || ',' || k || ']]}}' END AS request,
+              WHEN event_id % 10 = 1 THEN '{"dataframe_split":{"columns":["events_last_90d","user_id"],"data":[[' || k || ',' || user_id || ']]}}'
+              WHEN event_id % 10 = 2 THEN both_ || '[[' || user_id || ',' || k || '],[' || user_id || ',' || (k + 1) || ']]}}'
+              WHEN event_id % 10 = 4 THEN '{"dataframe_records":[{"user_id":' || user_id || ',"events_last_90d":' || k || '}]}'
+              WHEN event_id % 50 = 5 THEN '{"instances":[{"events_last_90d":"' || k || '"}]}'
+              WHEN event_id % 50 = 15 THEN '{"instances":[[' || user_id || ',' || k || ']]}'
+              WHEN event_id % 50 = 25 THEN '{"ping":' || user_id || '}'
+              WHEN event_id % 50 = 3 THEN both_ || '[[' || user_id || ']]}}'
+              WHEN event_id % 50 = 13 THEN '{"dataframe_split":{"columns":["user_id"],"data":[[' || user_id || ']]}}'
+              WHEN event_id % 50 = 23 THEN both_ || '[[' || user_id || ',"n/a"]]}}'
+              WHEN event_id % 50 = 33 THEN '{"dataframe_split":{"columns":["events_last_90d' || user_id
+              WHEN event_id % 50 = 43 THEN NULL
+              WHEN event_id % 50 = 46 THEN both_ || '[]}}'
+              ELSE both_ || '[[' || user_id || ',' || k || ']]}}' END AS request,
          CASE WHEN event_type <> 'error'
-              THEN '{"predictions":[' || CAST(k / CAST(100.0 AS DOUBLE) AS VARCHAR) || ']}' END AS response,
+              THEN '{"predictions":[' || CAST(k / CAST(100.0 AS DOUBLE) AS VARCHAR)
+                   || CASE WHEN event_id % 10 = 2 THEN ',' || CAST((k + 1) / CAST(100.0 AS DOUBLE) AS VARCHAR) ELSE '' END || ']}' END AS response,
          event_type AS endpoint
-  FROM (SELECT *, CAST(regexp_extract(props, '"k": *([0-9]+)', 1) AS INTEGER) AS k FROM events))""",
-    # One row per prediction / per numeric value sent, read off the documents as text.
+  FROM (SELECT *, CAST(regexp_extract(props, '"k": *([0-9]+)', 1) AS INTEGER) AS k,
+    '{"dataframe_split":{"columns":["user_id","events_last_90d"],"data":' AS both_ FROM events))""",
+    # One row per prediction, per data row with names, and per numeric value sent.
     "predictions": """predictions AS (
-  SELECT request_date, CAST(unnest(string_split(regexp_extract(response, '\\[(.*)\\]', 1), ',')) AS DOUBLE) AS prediction
-  FROM payload WHERE status_code = 200)""",
-    "sent": """sent AS (
-  SELECT request_date, unnest(['user_id', 'events_last_90d']) AS column_name,
-         CAST(unnest(string_split(regexp_extract(request, '"data":\\[\\[(.*)\\]\\]', 1), ',')) AS DOUBLE) AS value
-  FROM payload WHERE status_code = 200 AND request LIKE '{"dataframe_split"%')""",
+  SELECT request_date, unnest(CAST(json_extract(response, '$.predictions') AS DOUBLE[])) AS prediction
+  FROM payload WHERE status_code = 200 AND json_valid(response))""",
+    "sent": """read_ AS (
+  SELECT request_id, request_date, status_code, request, CASE WHEN json_valid(request) THEN CAST(request AS JSON) END AS j FROM payload),
+kinds_ AS (SELECT *, CAST(json_extract(j, '$.dataframe_split.columns') AS VARCHAR[]) AS cols,
+  CAST(json_extract(j, '$.dataframe_split.data') AS JSON[]) AS data,
+  CAST(coalesce(json_extract(j, '$.dataframe_records'), json_extract(j, '$.instances')) AS JSON[]) AS records FROM read_),
+rows_ AS (SELECT request_id, request_date, status_code, cols, unnest(data) AS r FROM kinds_ WHERE cols IS NOT NULL
+  UNION ALL SELECT request_id, request_date, status_code, NULL, unnest(records) FROM kinds_
+  WHERE cols IS NULL AND len([x FOR x IN records IF json_type(x) <> 'OBJECT']) = 0),
+cells_ AS (SELECT request_id, request_date, status_code, cols[i] AS column_name, json_array_length(r) < i AS short,
+    json_extract_string(r, '$[' || (i - 1) || ']') AS v FROM (SELECT *, unnest(range(1, len(cols) + 1)) AS i FROM rows_ WHERE cols IS NOT NULL)
+  UNION ALL SELECT request_id, request_date, status_code, name, FALSE, json_extract_string(r, '$.' || name)
+  FROM (SELECT *, unnest(json_keys(r)) AS name FROM rows_ WHERE cols IS NULL)),
+sent AS (SELECT request_date, request_id, column_name, TRY_CAST(v AS DOUBLE) AS value FROM cells_
+  WHERE status_code = 200 AND TRY_CAST(v AS DOUBLE) IS NOT NULL)""",
     "trials": """trials AS (
   SELECT experiment, run_id, start_time, model_family, metric,
          CASE metric WHEN 'val_f1_score' THEN CASE WHEN silent THEN NULL ELSE v END

@@ -134,13 +134,24 @@ def drift_all(
     return _compare(trained.union(sent), threshold, exact)
 
 
+def unparsed_reasons(log: DataFrame, feature: str) -> DataFrame:
+    """Requests, data rows and values by the reason why they can't be used; adds up to the log."""
+    return (
+        payload_json.decided(log, feature)
+        .groupBy("reason")
+        .agg(
+            F.count(F.lit(1)).alias("requests"),
+            F.sum("sent").alias("data_rows"),
+            F.sum("values").alias("usable_values"),
+        )
+    )
+
+
 def unparsed(log: DataFrame, feature: str) -> DataFrame:
     """How many successful requests the drift report cannot use, and why."""
-    columns = F.col("columns")
-    readable = columns.isNotNull() & F.col("data").isNotNull()
-    missing = readable & (payload_json.index_of(columns, feature) == 0)
-    return payload_json.parsed_requests(log).agg(
-        F.count(F.lit(1)).alias("ok_requests"),
-        F.count_if(~readable).alias("other_shape"),
-        F.count_if(missing).alias("missing_column"),
+    reason = F.col("reason")
+    return payload_json.decided(log, feature).agg(
+        F.count_if(reason != "not_ok").alias("ok_requests"),
+        F.count_if(reason.isin("no_request", "broken", "no_names", "other_shape")).alias("other_shape"),
+        F.count_if(reason == "missing_column").alias("missing_column"),
     )

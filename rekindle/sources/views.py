@@ -97,25 +97,42 @@ def payload_from_events(events: DataFrame) -> DataFrame:
     """Request log derived from the event stream; works on batch and streaming input."""
     key, k = F.col("event_id"), _k(F.col("props"))
     failed = F.col("event_type") == "error"
-    pair = F.concat(F.col("user_id").cast("string"), F.lit(","), k.cast("string"))
-    split = F.concat(
-        F.lit('{"dataframe_split":{"columns":["user_id","events_last_90d"],"data":[['),
-        pair,
-        F.lit("]]}}"),
+    user, value, next_value = F.col("user_id").cast("string"), k.cast("string"), (k + 1).cast("string")
+
+    def text(*parts: str | Column) -> Column:
+        return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+
+    both = '{"dataframe_split":{"columns":["user_id","events_last_90d"],"data":'
+    # one kind of request after the other, by id
+    request = (
+        F.when(key % 10 == 0, text('{"inputs":[[', user, ",", value, "]]}"))
+        .when(key % 10 == 1, text('{"dataframe_split":{"columns":["events_last_90d","user_id"],"data":[[', value, ",", user, "]]}}"))
+        .when(key % 10 == 2, text(both, "[[", user, ",", value, "],[", user, ",", next_value, "]]}}"))
+        .when(key % 10 == 4, text('{"dataframe_records":[{"user_id":', user, ',"events_last_90d":', value, "}]}"))
+        .when(key % 50 == 5, text('{"instances":[{"events_last_90d":"', value, '"}]}'))
+        .when(key % 50 == 15, text('{"instances":[[', user, ",", value, "]]}"))
+        .when(key % 50 == 25, text('{"ping":', user, "}"))
+        .when(key % 50 == 3, text(both, "[[", user, "]]}}"))
+        .when(key % 50 == 13, text('{"dataframe_split":{"columns":["user_id"],"data":[[', user, "]]}}"))
+        .when(key % 50 == 23, text(both, "[[", user, ',"n/a"]]}}'))
+        .when(key % 50 == 33, text('{"dataframe_split":{"columns":["events_last_90d', user))
+        .when(key % 50 == 43, F.lit(None).cast("string"))
+        .when(key % 50 == 46, text(both, "[]}}"))
+        .otherwise(text(both, "[[", user, ",", value, "]]}}"))
     )
-    other = F.concat(F.lit('{"inputs":[['), pair, F.lit("]]}"))
-    answer = F.concat(
-        F.lit('{"predictions":['), (k / F.lit(100.0)).cast("string"), F.lit("]}")
+    first, second = (k / F.lit(100.0)).cast("string"), ((k + 1) / F.lit(100.0)).cast("string")
+    answer = F.when(key % 10 == 2, text('{"predictions":[', first, ",", second, "]}")).otherwise(
+        text('{"predictions":[', first, "]}")
     )
     return events.select(
         key.cast("string").alias("request_id"),
         F.when(key % 3 == 0, F.col("user_id").cast("string")).alias("client_request_id"),
         F.col("ts").cast("date").alias("request_date"),
         F.unix_millis(F.col("ts").cast("timestamp")).alias("timestamp_ms"),
-        F.when(failed, 500).otherwise(200).alias("status_code"),
+        F.when(key % 97 != 7, F.when(failed, 500).otherwise(200)).alias("status_code"),
         F.lit(1.0).alias("sampling_fraction"),
         F.round(F.col("value") * 10).cast("long").alias("execution_duration_ms"),
-        F.when(key % 10 == 0, other).otherwise(split).alias("request"),
+        request.alias("request"),
         F.when(~failed, answer).alias("response"),
         F.create_map(F.lit("endpoint"), F.col("event_type")).alias("request_metadata"),
     )

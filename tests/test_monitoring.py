@@ -58,6 +58,32 @@ def test_split_column_survives_malformed_requests(frame):
     assert tuple(counts) == (6, 3, 1)
 
 
+def test_every_request_has_one_reason(frame):
+    """All shapes a request may have; reasons add up to the log, and only named shapes give values."""
+    records, instances = '{"dataframe_records":[%s]}', '{"instances":[%s]}'
+    cases = [
+        ("used", split(["b"], [1], [2]), 2), ("used", split(["a", "b"], [1, "x"], [1, 5], [1]), 1),
+        ("used", records % '{"a":1,"b":3},{"b":null}', 1), ("used", instances % '{"b":"4"}', 1),
+        ("short_row", split(["a", "b"], [1]), 0), ("not_a_number", split(["b"], ["zz"], [None], [True]), 0),
+        ("missing_column", split(["a"], [1]), 0), ("missing_column", records % '{"a":1}', 0), ("no_rows", split(["b"]), 0),
+        ("no_names", '{"inputs":[[1]]}', 0), ("no_names", instances % "[1]", 0), ("no_names", '{"instances":[{"b":1},2]}', 0),
+        ("other_shape", '{"b":1}', 0), ("other_shape", "[1]", 0), ("other_shape", '{"dataframe_split":{"columns":["b"]}}', 0),
+        ("other_shape", "7", 0), ("broken", '{"dataframe_split":', 0), ("broken", "", 0), ("no_request", None, 0),
+    ]
+    rows = [(f"{k}", *row(request=text)[1:]) for k, (_, text, _) in enumerate(cases)]
+    rows += [("bad", *row(split(["b"], [1]), status=500)[1:]), ("unknown", *row(split(["b"], [1]), status=None)[1:])]
+    log = frame(rows, LOG)
+    found = {r.request_id: (r.reason, r["values"]) for r in payload_json.decided(log, "b", ["request_id"]).collect()}
+    assert found == {f"{k}": (reason, n) for k, (reason, _, n) in enumerate(cases)} | {"bad": ("not_ok", 0), "unknown": ("not_ok", 0)}
+    reasons = monitoring.unparsed_reasons(log, "b").collect()
+    assert sum(r.requests for r in reasons) == log.count() and {r.reason for r in reasons} == set(payload_json.REASONS)
+    values = payload_json.split_column(log, "b", ["request_id"]).groupBy("request_id").count().collect()
+    assert {r.request_id: r["count"] for r in values} == {f"{k}": n for k, (_, _, n) in enumerate(cases) if n}
+    every = payload_json.split_all_columns(log).where("column_name = 'b'").count()
+    assert every == sum(n for _, _, n in cases)
+    assert monitoring.unparsed_reasons(log.limit(0), "b").collect() == []
+
+
 def test_predictions_of_several_rows(frame):
     log = frame([row(response='{"predictions":[0.1,0.104,0.9]}'), row(response=None), row(response="x")], LOG)
     assert payload_json.predictions(log).count() == 3

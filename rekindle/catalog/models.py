@@ -33,11 +33,11 @@ def _score_sql(coefficients: dict[str, float], intercept: float) -> str:
     return f"1.0::DOUBLE / (1.0::DOUBLE + exp(-({intercept}::DOUBLE + {terms})))"
 
 
-_CHAMPION_SQL = _score_sql(scoring.COEFFICIENTS, scoring.INTERCEPT)
+CHAMPION_SQL = _score_sql(scoring.COEFFICIENTS, scoring.INTERCEPT)
 _CHALLENGER_SQL = _score_sql(scoring.CHALLENGER, scoring.CHALLENGER_INTERCEPT)
 # Two hand-set models on all eligible users.
 _SCORES = f"""+ scores AS (
-SELECT user_id, will_reactivate AS label, 'champion' AS model, {_CHAMPION_SQL} AS probability FROM features
+SELECT user_id, will_reactivate AS label, 'champion' AS model, {CHAMPION_SQL} AS probability FROM features
 UNION ALL SELECT user_id, will_reactivate, 'challenger', {_CHALLENGER_SQL} FROM features)"""
 
 
@@ -310,13 +310,13 @@ def score_batch(spark: SparkSession, root: str) -> DataFrame:
     return rounded(scored, "probability", digits=7).select(KEY, LABEL, "prediction", "probability")
 
 
-@query(on_features(f"SELECT user_id, ROUND({_CHAMPION_SQL}, 10) AS prediction FROM features"))
+@query(on_features(f"SELECT user_id, ROUND({CHAMPION_SQL}, 10) AS prediction FROM features"))
 def score_vector_udf(spark: SparkSession, root: str) -> DataFrame:
     scored = scoring.score_with_udf(feature_table(spark, root), scoring.COEFFICIENTS, scoring.INTERCEPT)
     return rounded(scored.select("user_id", "prediction"), "prediction")
 
 
-@query(on_features(f"SELECT user_id, ROUND({_CHAMPION_SQL}, 10) AS prediction FROM features"))
+@query(on_features(f"SELECT user_id, ROUND({CHAMPION_SQL}, 10) AS prediction FROM features"))
 def score_linear_expr(spark: SparkSession, root: str) -> DataFrame:
     scored = scoring.score_with_expression(
         feature_table(spark, root), scoring.COEFFICIENTS, scoring.INTERCEPT
@@ -332,7 +332,7 @@ def score_persist(spark: SparkSession, root: str) -> DataFrame:
     return rounded(rounded(table, "probability", digits=7), *RATES, digits=9)
 
 
-@query(on_features(f"SELECT user_id, ROUND({_CHAMPION_SQL}, 10) AS prediction FROM features ORDER BY user_id LIMIT 10"))
+@query(on_features(f"SELECT user_id, ROUND({CHAMPION_SQL}, 10) AS prediction FROM features ORDER BY user_id LIMIT 10"))
 def score_sample(spark: SparkSession, root: str) -> DataFrame:
     scored = scoring.score_sample(
         feature_table(spark, root), 10, scoring.COEFFICIENTS, scoring.INTERCEPT
@@ -340,16 +340,27 @@ def score_sample(spark: SparkSession, root: str) -> DataFrame:
     return rounded(scored.select("user_id", "prediction"), "prediction")
 
 
-# Predictions are rounded before they are logged, to give both engines the same digits.
+#: What a request holds: every feature, in the order of the table.
+FEATURES = FEATURE_TABLE_COLUMNS[2:]
+
+
+def request_sql(columns) -> str:
+    """The request of a row of the feature table, as the endpoint would have logged it."""
+
+    def cell(c: str) -> str:
+        text = f"CAST({f'ROUND({c}, 6)' if c in RATES else c} AS VARCHAR)"
+        return f"""'"' || {c} || '"'""" if c in CATEGORICAL_FEATURES else f"COALESCE({text}, 'null')"
+
+    names = ",".join(f'"{c}"' for c in columns)
+    return f"""'{{"dataframe_split":{{"columns":[{names}],"data":[[' || """ + " || ',' || ".join(map(cell, columns)) + """ || ']]}}'"""
+
+
+# Rates and predictions are rounded before they are logged, to give both engines the same digits.
 @query(on_features(f"""SELECT md5(user_id || '|946684800000') AS request_id, DATE '2000-01-01' AS request_date,
-946684800000 AS timestamp_ms, 200 AS status_code,
-'{{"dataframe_split":{{"columns":["plan_type","events_last_90d","had_subscription"],"data":[["' || plan_type || '",'
-|| events_last_90d || ',' || had_subscription || ']]}}}}' AS request,
-'{{"predictions":[' || ROUND({_CHAMPION_SQL}, 3) || ']}}' AS response FROM features"""))
+946684800000 AS timestamp_ms, 200 AS status_code, {request_sql(FEATURES)} AS request,
+'{{"predictions":[' || ROUND({CHAMPION_SQL}, 3) || ']}}' AS response FROM features"""))
 def score_log_payload(spark: SparkSession, root: str) -> DataFrame:
-    scored = scoring.score_with_expression(
-        feature_table(spark, root), scoring.COEFFICIENTS, scoring.INTERCEPT
-    )
-    columns = ["plan_type", "events_last_90d", "had_subscription"]
-    log = scoring.payload_rows(rounded(scored, "prediction", digits=3), columns, F.lit(SNAPSHOT))
+    table = rounded(feature_table(spark, root), *RATES, digits=6)
+    scored = scoring.score_with_expression(table, scoring.COEFFICIENTS, scoring.INTERCEPT)
+    log = scoring.payload_rows(rounded(scored, "prediction", digits=3), FEATURES, F.lit(SNAPSHOT))
     return log.select("request_id", "request_date", "timestamp_ms", "status_code", "request", "response")

@@ -10,7 +10,8 @@ from rekindle.catalog.registry import query, rounded
 from rekindle.catalog.sql import FEATURE_CHAIN, using
 from rekindle.contracts import NUMERIC_FEATURES
 from rekindle.functions import quantiles
-from rekindle.plans import monitoring
+from rekindle.plans import monitoring, sketches
+from rekindle.session import scratch_path
 from rekindle.sources import views
 from rekindle.sources.tables import materialised
 
@@ -135,3 +136,32 @@ def mon_unparsed(spark: SparkSession, root: str) -> DataFrame:
 SUM(numbers)::BIGINT AS usable_values FROM why_ GROUP BY reason"""))
 def mon_unparsed_reasons(spark: SparkSession, root: str) -> DataFrame:
     return monitoring.unparsed_reasons(views.inference_payload(spark, root), "events_last_90d")
+
+
+#: Wide enough to keep every value of a window of these tables, so that quantiles are exact.
+_WIDE = 32768
+
+
+def _stored(spark: SparkSession, root: str) -> DataFrame:
+    """Sketches of the whole log, stored in two goes: first all days, then one of them again."""
+    log, path = views.inference_payload(spark, root), scratch_path(spark, "sketches")
+    sketches.store_days(log, path, k=_WIDE)
+    sketches.store_days(log.where("request_date = date '2024-01-05'"), path, k=_WIDE)
+    return sketches.stored(spark, path)
+
+
+@query(using("payload predictions sent", """+ v_ AS (SELECT column_name AS feature, value FROM sent WHERE request_date BETWEEN DATE '2024-01-03' AND DATE '2024-01-20'
+UNION ALL SELECT 'prediction', prediction FROM predictions WHERE request_date BETWEEN DATE '2024-01-03' AND DATE '2024-01-20')
+SELECT feature, COUNT(*) AS n, ROUND(AVG(value), 9) AS mean, ROUND(stddev_samp(value), 9) AS stddev, MIN(value) AS min, MAX(value) AS max,
+quantile_disc(value, 0.5) AS p50, quantile_disc(value, 0.95) AS p95 FROM v_ GROUP BY feature"""))
+def mon_window_from_sketches(spark: SparkSession, root: str) -> DataFrame:
+    """Any window of days from what was stored per day, log untouched."""
+    rows = _stored(spark, root).where("request_date between date '2024-01-03' and date '2024-01-20'")
+    return rounded(sketches.window_report(rows, _WIDE), "mean", "stddev", digits=9)
+
+
+@query(using(_DRIFT_BASE, _drift_sql(_ALL_FEATURES).replace("quantile_cont", "quantile_disc")))
+def mon_drift_from_sketches(spark: SparkSession, root: str) -> DataFrame:
+    train = materialised(feature_table(spark, root), "train")
+    report = sketches.drift(train, NUMERIC_FEATURES, _stored(spark, root), k=_WIDE)
+    return rounded(report, *_DRIFT_COLUMNS, digits=6)

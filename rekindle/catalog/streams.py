@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rekindle.catalog.registry import query
-from rekindle.catalog.sql import using
+from rekindle.catalog.features import RATES, feature_table
+from rekindle.catalog.models import CHAMPION_SQL, FEATURES, request_sql
+from rekindle.catalog.registry import query, rounded
+from rekindle.catalog.sql import on_features, using
+from rekindle.plans import scoring
 from rekindle.session import scratch_path
 from rekindle.sources import views
 from rekindle.streaming import jobs
@@ -31,17 +34,42 @@ def stream_daily_usage(spark: SparkSession, root: str) -> DataFrame:
     return _run(jobs.daily_usage(log, F.timestamp_millis("timestamp_ms")), "usage")
 
 
-_WEIGHTS = {"l_quantity": 0.04, "l_discount": 3.0}
-_INTERCEPT = -1.5
+def _in_files(df: DataFrame, part: Column, parts: int, name: str) -> str:
+    """``df`` as files that arrive one after the other, by ``part``."""
+    path = scratch_path(df.sparkSession, name)
+    for k in range(parts):
+        df.where(part == k).coalesce(1).write.mode("append").parquet(path)
+    return path
 
 
-@query("""SELECT md5(l_orderkey || '|' || epoch_ms(l_shipdate)) AS request_id, CAST(l_shipdate AS DATE) AS request_date,
-'{"dataframe_split":{"columns":["l_returnflag","l_linenumber"],"data":[["' || l_returnflag || '",' || l_linenumber || ']]}}'
-AS request, '{"predictions":[' || ROUND(1.0::DOUBLE / (1.0::DOUBLE + exp(-(-1.5::DOUBLE + l_quantity * 0.04::DOUBLE
-+ l_discount * 3.0::DOUBLE))), 3) || ']}' AS response FROM lineitem""")
+# Three deliveries, each of all days; some requests have no time. Days that a delivery finds closed
+# are restated, and what came late is counted.
+@query(using("payload", """+ t_ AS (SELECT event_id % 3 AS part, CASE WHEN event_id % 89 <> 5 THEN ts END AS moment,
+CASE WHEN event_id % 97 <> 7 THEN CASE WHEN event_type = 'error' THEN 500 ELSE 200 END END AS status_code FROM events),
+mark_ AS (SELECT part, MAX(moment) - INTERVAL 10 MINUTE AS upto FROM t_ GROUP BY part)
+SELECT CAST(moment AS DATE) AS request_date, COUNT(*) AS requests, COUNT(*) FILTER (status_code = 200) AS ok,
+COUNT(*) FILTER (status_code <> 200) AS errors,
+COUNT(*) FILTER (CAST(moment AS DATE) + INTERVAL 1 DAY <= (SELECT MAX(upto) FROM mark_ WHERE mark_.part < t_.part)) AS late
+FROM t_ GROUP BY 1"""))
+def stream_usage_restated(spark: SparkSession, root: str) -> DataFrame:
+    log = views.inference_payload(spark, root).select("request_id", "timestamp_ms", "status_code")
+    key = F.col("request_id").cast("long")
+    timed = log.withColumn("timestamp_ms", F.when(key % 89 != 5, F.col("timestamp_ms")))
+    path = _in_files(timed, key % 3, 3, "usage-feed")
+    feed = jobs.read_files(spark, path, timed.schema, files_per_trigger=1)
+    out, checkpoint = scratch_path(spark, "restated"), scratch_path(spark, "restated-checkpoint")
+    return jobs.restated_usage(feed, F.timestamp_millis("timestamp_ms"), out, checkpoint)
+
+
+# The feature table arrives twice; each request is logged once, with all features it was scored on.
+@query(on_features(f"""SELECT md5(user_id || '|946684800000') AS request_id, DATE '2000-01-01' AS request_date,
+{request_sql(FEATURES)} AS request, '{{"predictions":[' || ROUND({CHAMPION_SQL}, 3) || ']}}' AS response FROM features"""))
 def stream_score_log(spark: SparkSession, root: str) -> DataFrame:
-    feed = _stream(spark, root, "lineitem").withColumnRenamed("l_orderkey", "user_id")
-    rows = jobs.score_feed(
-        feed, ["l_returnflag", "l_linenumber"], F.col("l_shipdate"), _WEIGHTS, _INTERCEPT, digits=3
-    )
-    return _run(rows.select("request_id", "request_date", "request", "response"), "scored")
+    table = rounded(feature_table(spark, root), *RATES, digits=6)
+    path = scratch_path(spark, "score-feed")
+    for _ in range(2):
+        table.write.mode("append").parquet(path)
+    feed = jobs.read_files(spark, path, table.schema, files_per_trigger=1)
+    rows = jobs.score_feed(feed, FEATURES, F.lit(views.SNAPSHOT), scoring.COEFFICIENTS, scoring.INTERCEPT, digits=3)
+    once = jobs.once_per_request(rows).select("request_id", "request_date", "request", "response")
+    return jobs.log_batches(once, scratch_path(spark, "scored"), scratch_path(spark, "scored-checkpoint"))

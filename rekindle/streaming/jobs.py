@@ -45,6 +45,67 @@ def daily_usage(log: DataFrame, ts: Column, lateness: str = LATENESS) -> DataFra
     )
 
 
+#: What a batch of the restated usage report leaves per day.
+CONTRIBUTION = "request_date date, requests bigint, ok bigint, errors bigint, late bigint, last_ts timestamp, batch_id bigint"
+
+
+def _batches_to(df: DataFrame, checkpoint: str, write) -> None:
+    """Every batch of what is available now to ``write(batch, batch_id)``, then stop."""
+    query = df.writeStream.foreachBatch(write).trigger(availableNow=True)
+    query.option("checkpointLocation", checkpoint).start().awaitTermination()
+
+
+def restated_usage(log: DataFrame, ts: Column, path: str, checkpoint: str, lateness: str = LATENESS) -> DataFrame:
+    """Usage per day with nothing lost: late rows restate their day, rows without a time are kept.
+
+    A batch writes what it adds to each day below ``batch_id=<id>``, replacing what a failed attempt
+    of the same batch left; a day is the sum of its contributions. ``late`` counts rows of days that
+    the watermark (latest time seen before the batch, less ``lateness``) had closed. The day of
+    rows without a time is NULL. One row per day and batch is read back.
+    """
+    status = F.col("status_code")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        before = spark.read.schema(CONTRIBUTION).option("ignoreMissingFiles", "true").parquet(path) if batch_id else None
+        seen = None if before is None else before.where(F.col("batch_id") < batch_id).agg(F.max("last_ts")).first()[0]
+        at = ts.cast("timestamp")
+        end = F.date_trunc("day", at) + F.expr("interval 1 day")
+        closed = F.lit(False) if seen is None else F.coalesce(end <= F.lit(seen) - F.expr(f"interval {lateness}"), F.lit(False))
+        batch.groupBy(at.cast("date").alias("request_date")).agg(
+            F.count(F.lit(1)).alias("requests"),
+            F.count_if(status == 200).alias("ok"),
+            F.count_if(status != 200).alias("errors"),
+            F.count_if(closed).alias("late"),
+            F.max(at).alias("last_ts"),
+        ).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    _batches_to(log, checkpoint, write)
+    parts = log.sparkSession.read.schema(CONTRIBUTION).parquet(path)
+    return parts.groupBy("request_date").agg(*[F.sum(c).alias(c) for c in ("requests", "ok", "errors", "late")])
+
+
+def once_per_request(rows: DataFrame, lateness: str = "1 day") -> DataFrame:
+    """Log rows of a stream without repeats of a request id.
+
+    Ids are remembered as long as the watermark needs, so state doesn't grow with the log.
+    """
+    timed = rows.withColumn("_ts", F.timestamp_millis("timestamp_ms")).withWatermark("_ts", lateness)
+    return timed.dropDuplicatesWithinWatermark(["request_id"]).drop("_ts")
+
+
+def log_batches(rows: DataFrame, path: str, checkpoint: str) -> DataFrame:
+    """A stream of log rows as a table in which a batch that is tried again stands once.
+
+    Each batch has a folder of its own that a retry replaces as a whole.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    _batches_to(rows, checkpoint, write)
+    return rows.sparkSession.read.schema(rows.schema).option("recursiveFileLookup", "true").parquet(path)
+
+
 def score_feed(
     feed: DataFrame,
     columns: Sequence[str],

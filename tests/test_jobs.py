@@ -12,13 +12,13 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from rekindle.catalog.features import feature_table
-from rekindle.contracts import FEATURE_TABLE_COLUMNS
-from rekindle.plans import generate, scoring, training
+from rekindle.contracts import FEATURE_TABLE_COLUMNS, NUMERIC_FEATURES
+from rekindle.plans import generate, monitoring, scoring, training
+from rekindle.plans.monitoring import usage
 from rekindle.plans.features import customer_features
 from rekindle.plans.preparation import Preparation, dictionary
 from rekindle.plans.registry import Fitted, Registry
 from rekindle.session import scratch_path
-from rekindle.sources import views
 from rekindle.sources.tables import materialised
 from rekindle.streaming import jobs
 
@@ -44,17 +44,77 @@ def test_days_are_emitted_once_across_restarts(spark, frame):
     assert run() == [(1, 3, 1, 1), (2, 2, 2, 0)]
 
 
-def test_streamed_scores_equal_batch(spark, small):
-    feed = views.raw(spark, small, "lineitem")
-    weights, columns = {"l_quantity": 0.1}, ["l_returnflag", "l_quantity"]
+def test_late_rows_restate_their_day(spark, frame):
+    """A row two days late and rows without a time: the stream's sums equal the batch report's."""
+    source, out, checkpoint = (scratch_path(spark, n) for n in ("in", "out", "checkpoint"))
+    schema, arrived = "ts timestamp, status_code int", []
+
+    def arrive(*rows):
+        rows = [(None if d is None else datetime(2024, 1, d, h), s) for d, h, s in rows]
+        arrived.extend(rows)
+        frame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+
+    def run():
+        stream = jobs.read_files(spark, source, frame([], schema).schema, files_per_trigger=1)
+        found = jobs.restated_usage(stream, F.col("ts"), out, checkpoint).collect()
+        days = {r.request_date and r.request_date.day: (r.requests, r.ok, r.errors) for r in found}
+        log = frame(arrived, schema).withColumn("request_date", F.col("ts").cast("date"))
+        assert days == {r.request_date and r.request_date.day: (r.requests, r.ok, r.errors) for r in usage(log).collect()}
+        return {r.request_date and r.request_date.day: r.late for r in found}
+
+    arrive((1, 1, 200), (1, 2, 500), (None, 0, 200))
+    assert run() == {1: 0, None: 0}
+    arrive((3, 5, 200), (1, 23, None))
+    assert run() == {1: 0, 3: 0, None: 0}  # day 1 was open when these came
+    arrive((1, 9, 200), (3, 6, 500), (None, 0, None))
+    assert run() == {1: 1, 3: 0, None: 0}
+    assert run() == {1: 1, 3: 0, None: 0}  # nothing new, nothing counted again
+
+
+def test_a_failed_batch_is_counted_once(spark, frame):
+    source, out, checkpoint = (scratch_path(spark, n) for n in ("in", "out", "checkpoint"))
+    frame([(datetime(2024, 1, 1), 200)] * 3, "ts timestamp, status_code int").write.parquet(source)
+    stream = jobs.read_files(spark, source, frame([], "ts timestamp, status_code int").schema)
+    whole = jobs._batches_to
 
-    def rows(df):
-        renamed = df.withColumnRenamed("l_orderkey", "user_id")
-        return jobs.score_feed(renamed, columns, F.col("l_shipdate"), weights, -1.0).select("request_id", "request", "response")
+    def dies(df, where, write):
+        def once(batch, batch_id):
+            write(batch, batch_id)
+            raise RuntimeError("lost after writing")
 
-    stream = jobs.read_files(spark, small, feed.schema, pathGlobFilter="lineitem.parquet")
-    streamed = jobs.run_to_table(rows(stream), scratch_path(spark, "o"), scratch_path(spark, "c"))
-    assert streamed.exceptAll(rows(feed)).isEmpty() and streamed.count() == feed.count()
+        whole(df, where, once)
+
+    jobs._batches_to = dies
+    try:
+        with pytest.raises(Exception, match="lost after writing"):
+            jobs.restated_usage(stream, F.col("ts"), out, checkpoint)
+    finally:
+        jobs._batches_to = whole
+    assert [r.requests for r in jobs.restated_usage(stream, F.col("ts"), out, checkpoint).collect()] == [3]
+
+
+def test_requests_are_logged_once(spark, features):
+    """The same file twice, in one run and in a later one, and a batch tried again."""
+    source, out, checkpoint = (scratch_path(spark, n) for n in ("in", "out", "checkpoint"))
+    columns = list(FEATURE_TABLE_COLUMNS[2:])
+
+    def run():
+        feed = jobs.read_files(spark, source, features.schema, files_per_trigger=1)
+        rows = jobs.score_feed(feed, columns, F.lit(date(2000, 1, 1)), scoring.COEFFICIENTS, scoring.INTERCEPT)
+        return jobs.log_batches(jobs.once_per_request(rows), out, checkpoint)
+
+    for _ in range(2):
+        features.coalesce(1).write.mode("append").parquet(source)
+    log = run()
+    assert log.count() == log.select("request_id").distinct().count() == features.count()
+    features.coalesce(1).write.mode("append").parquet(source)
+    again = run()
+    assert again.count() == features.count()
+    batch = jobs.score_feed(features, columns, F.lit(date(2000, 1, 1)), scoring.COEFFICIENTS, scoring.INTERCEPT)
+    assert again.select("request_id", "request", "response").exceptAll(batch.select("request_id", "request", "response")).isEmpty()
+    # what was logged is what was scored: no feature drifts
+    report = monitoring.drift_all(features, again, NUMERIC_FEATURES, exact=True)
+    assert report.where("drifted").isEmpty() and report.where("production is null and train is not null").isEmpty()
 
 
 @pytest.fixture(scope="module")

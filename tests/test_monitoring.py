@@ -1,12 +1,17 @@
 from __future__ import annotations
 
 import json
+import math
+import os
+import random
 from datetime import date
 
 import pytest
+from conftest import plan_of
 
 from rekindle.functions import payload_json
-from rekindle.plans import monitoring
+from rekindle.plans import monitoring, sketches
+from rekindle.session import scratch_path
 
 LOG = (
     "request_id string, request_date date, status_code int, execution_duration_ms long, "
@@ -128,3 +133,38 @@ def test_requests_round_trip_through_json(frame):
     assert json.loads(text) == {
         "dataframe_split": {"columns": ["s", "i", "d", "t", "z"], "data": [['x"y', 1, 2.5, True, None]]}
     }
+
+
+def test_windows_are_merges_of_stored_days(spark, frame):
+    """Any window from stored days equals one pass within the rank error; a day replaced leaves the others."""
+    rng = random.Random(6)
+    days = [date(2024, 1, d) for d in range(1, 8)]
+    rows = [(split(["a"], [1e12 + rng.gauss(0, 3)], [None]), f'{{"predictions":[{rng.random()}]}}', d) for d in days for _ in range(700)]
+    log = frame([row(request=r, response=p, day=d) for r, p, d in rows], LOG)
+    path = scratch_path(spark, "sketches")
+    sketches.store_days(log, path, k=200)
+    files = {d: sorted(os.listdir(f"{path}/request_date={d}")) for d in days}
+    sketches.store_days(log.where("request_date = '2024-01-03'"), path, k=200)
+    after = {d: sorted(os.listdir(f"{path}/request_date={d}")) for d in days}
+    assert [d.day for d in days if files[d] != after[d]] == [3]
+    stored = sketches.stored(spark, path, "2024-01-02", "2024-01-05")
+    assert "PartitionFilters: [isnotnull(request_date" in plan_of(stored)
+    found = {r.feature: r for r in sketches.window_report(stored, 200).collect()}
+    window = [x for x in rows if 2 <= x[2].day <= 5]
+    for name, values in (
+        ("a", [json.loads(r)["dataframe_split"]["data"][0][0] for r, _, _ in window]),
+        ("prediction", [json.loads(p)["predictions"][0] for _, p, _ in window]),
+    ):
+        got, values = found[name], sorted(values)
+        middle = sum(v - values[0] for v in values) / len(values)
+        assert got.n == len(values) and (got["min"], got["max"]) == (values[0], values[-1])
+        assert got["mean"] - values[0] == pytest.approx(middle, abs=1e-3)
+        spread = math.sqrt(sum((v - values[0] - middle) ** 2 for v in values) / (len(values) - 1))
+        assert got.stddev == pytest.approx(spread, rel=1e-3)
+        for q, value in ((0.5, got.p50), (0.95, got.p95)):
+            assert abs(sum(v <= value for v in values) / len(values) - q) < 0.03
+    train = frame([(1e12,), (2e12,)], "a double")
+    report = {r.statistic: r for r in sketches.drift(train, ["a"], stored, k=200).collect()}
+    assert report["mean"].drifted is True and report["n"].rel_diff is None
+    empty = sketches.window_report(sketches.stored(spark, path, "2025-01-01"))
+    assert empty.collect() == []

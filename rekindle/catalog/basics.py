@@ -12,7 +12,7 @@ from rekindle.functions import payload_json, scalars
 from rekindle.operators import aggregates, filters, joins, projections, ranking
 from rekindle.plans import monitoring
 from rekindle.session import scratch_path
-from rekindle.sources import payload, tables, views
+from rekindle.sources import payload, snapshots, tables, views
 from rekindle.sources.views import SNAPSHOT
 
 # --- sources and sinks -------------------------------------------------------------
@@ -55,20 +55,29 @@ def src_nan_to_null_int(spark: SparkSession, root: str) -> DataFrame:
 
 @query(using("users", "SELECT * FROM users"))
 def sink_overwrite(spark: SparkSession, root: str) -> DataFrame:
-    path, name = scratch_path(spark, "sink_users"), tables.own_name("users")
-    table = views.users(spark, root)
+    path, table = scratch_path(spark, "sink_users"), views.users(spark, root)
     # What stands there first has other rows, so that appending would show.
-    tables.overwrite_table(table.withColumn("user_id", -F.col("user_id")), name, path)
-    return tables.overwrite_table(table, name, path)
+    snapshots.replace(table.withColumn("user_id", -F.col("user_id")), path)
+    return snapshots.replace(table, path)
 
 
 @query(using("users", "SELECT user_id, plan_type, region FROM users"))
 def sink_overwrite_schema(spark: SparkSession, root: str) -> DataFrame:
-    path, name = scratch_path(spark, "sink_profiles"), tables.own_name("profiles")
-    table = views.users(spark, root)
-    tables.overwrite_table(table, name, path)
-    narrow = table.select("user_id", "plan_type", "region")
-    return tables.overwrite_table(narrow, name, path, replace_schema=True)
+    path, table = scratch_path(spark, "sink_profiles"), views.users(spark, root)
+    # The narrow table is computed from the one that it replaces.
+    wide = snapshots.replace(table, path)
+    return snapshots.replace(wide.select("user_id", "plan_type", "region"), path)
+
+
+@query(using("payload", """SELECT request_id, CASE WHEN request_date = DATE '2024-01-09' THEN -1 ELSE status_code END AS status_code,
+request_date FROM payload"""))
+def sink_replace_day(spark: SparkSession, root: str) -> DataFrame:
+    """One day of a partitioned log replaced, the others as they were."""
+    log = views.inference_payload(spark, root).select("request_id", "status_code", "request_date")
+    path = scratch_path(spark, "sink_days")
+    snapshots.replace_days(log, path, "request_date")
+    day = log.where("request_date = date '2024-01-09'").withColumn("status_code", F.lit(-1))
+    return snapshots.replace_days(day, path, "request_date")
 
 
 @query("SELECT COUNT(*) AS rows_written, COUNT(*) AS rows_read, TRUE AS identical FROM customer")

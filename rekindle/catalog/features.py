@@ -8,8 +8,10 @@ from rekindle.catalog.registry import query, rounded
 from rekindle.catalog.sql import on_features, using
 from rekindle.contracts import LABEL
 from rekindle.operators import aggregates
-from rekindle.plans import features
+from rekindle.plans import clustered, features
+from rekindle.session import scratch_path
 from rekindle.sources import views
+from rekindle.sources.tables import own_name
 from rekindle.sources.views import SNAPSHOT
 
 RATES = ("avg_session_minutes", "avg_progress_pct", "pct_finished", "pct_audiobook", "pct_ebook")
@@ -98,6 +100,22 @@ def feat_customer_features_by_joins(spark: SparkSession, root: str) -> DataFrame
     return rounded(table, *RATES)
 
 
+@query(on_features(f"SELECT * REPLACE ({_ROUND}) FROM features"))
+def feat_customer_features_clustered(spark: SparkSession, root: str) -> DataFrame:
+    """The feature table from clustered inputs, without an exchange before its first grouping."""
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    users, events, subs = clustered.store_inputs(
+        views.users(spark, root),
+        views.reading_events(spark, root),
+        views.subscriptions(spark, root),
+        own_name("clustered"),
+        scratch_path(spark, "clustered"),
+        buckets,
+    )
+    table = features.customer_features(users, views.books(spark, root), events, subs, SNAPSHOT)
+    return rounded(table, *RATES)
+
+
 @query(on_features("SELECT will_reactivate, COUNT(*) AS n FROM features GROUP BY 1"))
 def agg_label_counts(spark: SparkSession, root: str) -> DataFrame:
     events = views.reading_events(spark, root)

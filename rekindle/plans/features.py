@@ -197,8 +197,7 @@ def user_activity(
         .agg(
             F.count_if(past).alias("n"),
             F.count_if(~past).alias("n_future"),
-            F.count_if(past & (ts >= at(-90))).alias("n_90"),
-            F.count_if(past & (ts >= at(-180))).alias("n_180"),
+            *[F.count_if(past & (ts >= at(-d))).alias(f"n_{d}") for d in LOOKBACK_DAYS],
             F.max(F.when(past, ts)).alias("last"),
             F.sum(F.when(past, F.col("session_minutes"))).alias("minutes"),
             F.count(F.when(past, F.col("session_minutes"))).alias("minutes_known"),
@@ -211,8 +210,7 @@ def user_activity(
     summed = (
         "n",
         "n_future",
-        "n_90",
-        "n_180",
+        *[f"n_{d}" for d in LOOKBACK_DAYS],
         "minutes",
         "minutes_known",
         "progress",
@@ -260,8 +258,7 @@ def user_activity(
         rate("ebook", "format_known").alias("pct_ebook"),
         "top_genre",
         days_between(F.lit(snapshot), F.col("last")).alias("days_since_last_event"),
-        F.col("n_90").alias("events_last_90d"),
-        F.col("n_180").alias("events_last_180d"),
+        *[F.col(f"n_{d}").alias(f"events_last_{d}d") for d in LOOKBACK_DAYS],
     )
 
 

@@ -1,16 +1,22 @@
 from __future__ import annotations
 
 import math
+import os
+from datetime import date, datetime
 
 import pytest
+from conftest import plan_of
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rekindle.contracts import PAYLOAD
 from rekindle.functions import scalars
 from rekindle.operators import filters, joins, projections, ranking
+from rekindle.plans import clustered
+from rekindle.plans.features import customer_features
 from rekindle.session import scratch_path
-from rekindle.sources import payload, tables, views
+from rekindle.sources import payload, snapshots, tables, views
+from rekindle.sources.tables import own_name
 
 SCHEMA = T.StructType(
     [T.StructField("id", T.LongType(), False), T.StructField("x", T.IntegerType(), True)]
@@ -139,3 +145,57 @@ def test_roundtrip_leaves_a_standing_table_alone(spark):
         tables.roundtrip(spark.range(1).toDF("id"), name)
     assert spark.table(name).count() == 3
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_a_killed_replacement_leaves_the_old_rows(spark, frame):
+    root = scratch_path(spark, "safe")
+    with pytest.raises(RuntimeError, match="no rows yet"):
+        snapshots.current(spark, root)
+    old = frame([(1, "a"), (2, "b")], "id int, x string")
+    snapshots.replace(old, root)
+    breaks = spark.range(1000).select(F.when(F.col("id") < 990, F.col("id")).otherwise(F.raise_error(F.lit("killed"))).alias("id"))
+    with pytest.raises(Exception, match="killed"):
+        snapshots.replace(breaks.repartition(4), root)
+    assert sorted(map(tuple, snapshots.current(spark, root).collect())) == [(1, "a"), (2, "b")]
+    # a table may be computed from itself, and may change its columns
+    table = snapshots.current(spark, root)
+    new = snapshots.replace(table.selectExpr("id + 10 AS id"), root)
+    assert sorted(r.id for r in new.collect()) == [11, 12] and table.count() == 2
+    assert sorted(r.id for r in snapshots.current(spark, root, 1).collect()) == [1, 2]
+    snapshots.prune(spark, root)
+    assert sorted(r.id for r in snapshots.current(spark, root).collect()) == [11, 12]
+    assert len([d for d in os.listdir(root) if d.startswith("rows-")]) == 1
+    assert snapshots.replace(new.where("id < 0"), root).count() == 0
+
+
+def test_replacing_a_day_leaves_the_files_of_others(spark, frame):
+    path, schema = scratch_path(spark, "days"), "id int, day string"
+    snapshots.replace_days(frame([(1, "a"), (2, "b"), (3, "c")], schema), path, "day")
+    before = {d: os.listdir(f"{path}/day={d}") for d in "abc"}
+    after = snapshots.replace_days(frame([(7, "b"), (8, "b")], schema), path, "day")
+    assert sorted(map(tuple, after.collect())) == [(1, "a"), (3, "c"), (7, "b"), (8, "b")]
+    assert {d for d in "abc" if os.listdir(f"{path}/day={d}") != before[d]} == {"b"}
+
+
+def test_clustered_inputs_need_no_exchange_and_split_hot_users(spark, frame):
+    days = [datetime(2023, 12, 1 + k % 28) for k in range(28)]
+    events = [("hot", f"b{k % 97}", days[k % 28], 0.5, 10, False, None) for k in range(3000)]
+    events += [(f"u{k % 300}", f"b{k % 97}", days[k % 28], 0.5, 10, True, 5) for k in range(6000)]
+    schema = "user_id string, book_id string, event_ts timestamp, progress_pct double, session_minutes int, finished boolean, rating int"
+    made = frame(events, schema)
+    users = made.select("user_id").distinct().selectExpr("user_id", "DATE'2020-01-01' AS signup_date", "'free' AS plan_type", "'x' AS age_band", "'y' AS region", "'z' AS device_type")
+    books = made.select("book_id").distinct().selectExpr("book_id", "'t' AS title", "'g' AS genre", "'ebook' AS format", "1 AS length_minutes", "'en' AS language")
+    subs = frame([("hot", date(2023, 1, 1), None, None)], "user_id string, start_date date, end_date date, cancel_reason string")
+    own = clustered.store_inputs(users, made, subs, own_name("t"), scratch_path(spark, "clustered"), 8)
+    plain = customer_features(users, books, made, subs, date(2024, 2, 1))
+    table = customer_features(own[0], books, own[1], own[2], date(2024, 2, 1))
+    assert sorted(map(str, plain.collect())) == sorted(map(str, table.collect())) and table.count() == 301
+
+    def exchanges(df):
+        return plan_of(df).partition("\n\n\n")[0].count("- Exchange")
+
+    assert exchanges(table) < exchanges(plain)
+    scan = plan_of(table).partition("\n\n\n")[0].split("Scan parquet spark_catalog")[0].rpartition("HashAggregate")
+    assert "Exchange" not in scan[2]
+    files = own[1].where("user_id = 'hot'").select(F.input_file_name().alias("f")).distinct().count()
+    assert files > 4

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,12 +21,44 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
 
 
+#: Lists that are told of every written table while they are open.
+_told: list[list[str]] = []
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The same rows, read back from the shared scratch folder: computed once, lineage cut."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    for paths in _told:
+        paths.append(path)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def removed(spark: SparkSession, *paths: str) -> None:
+    """Deletes tables that ``written`` made; those that are gone already are no error."""
+    for path in paths:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def discarded(*tables: DataFrame) -> None:
+    """Deletes written tables that no plan reads any more."""
+    for table in tables:
+        removed(table.sparkSession, table.written_to)
+
+
+@contextmanager
+def noting() -> Iterator[list[str]]:
+    """The paths that ``written`` makes meanwhile: whoever opens this owns and removes them."""
+    paths: list[str] = []
+    _told.append(paths)
+    try:
+        yield paths
+    finally:
+        _told.remove(paths)
 
 
 def word_count(text: Column) -> Column:

@@ -296,20 +296,20 @@ def mixed(
 ) -> DataFrame:
     """The mix itself: each document as often as the plan says, with all its columns."""
     plan = mix_plan(docs, id_col, text_col, source_col, weights, share)
+
+    def told_by(size: Column) -> Column:
+        """One text per id, source and size, nulls told apart: the join and the ranks share it."""
+        parts = [F.col(c).cast("string") for c in (id_col, source_col)]
+        return F.concat_ws("\x1f", *[F.concat(F.isnull(p).cast("string"), F.coalesce(p, F.lit(""))) for p in parts], size)
+
     # rows that agree in id, source and size are told apart by their number only
-    told = plan.groupBy(
-        F.col(id_col).alias("__id"), F.col(source_col).alias("__source"), F.col("size").alias("__size")
-    ).agg(F.min("copies").alias("__base"), F.sum("copies").alias("__sum"), F.count("*").alias("__n"))
-    marked = docs.withColumn("__words", word_count(F.col(text_col)))
-    joined = marked.join(
-        told,
-        F.col(id_col).eqNullSafe(F.col("__id"))
-        & (F.col("__words") == F.col("__size"))
-        & F.col(source_col).eqNullSafe(F.col("__source")),
-    )
-    nth = F.row_number().over(
-        Window.partitionBy("__id", "__size", "__source").orderBy(F.xxhash64(text_col))
+    told = plan.groupBy(told_by(F.col("size")).alias("__key")).agg(
+        F.min("copies").alias("__base"), F.sum("copies").alias("__sum"), F.count("*").alias("__n")
     )
+    wanted = told.filter("__sum > 0")
+    joined = docs.withColumn("__key", told_by(word_count(F.col(text_col)))).join(wanted, "__key")
+    # ranked within the partition of the join: texts move once
+    nth = F.row_number().over(Window.partitionBy("__key").orderBy(F.xxhash64(text_col)))
     extra = F.col("__sum") - F.col("__base") * F.col("__n")
     copies = F.col("__base") + F.when(F.col("__nth") <= extra, 1).otherwise(0)
     return (

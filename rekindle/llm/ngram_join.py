@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rekindle.llm.common import written
+from rekindle.llm.common import discarded, written
 from rekindle.llm.simhash import components
 
 WIDTH = 4
@@ -92,13 +92,24 @@ def _slim(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
 
 
-def _described(slim: DataFrame, width: int, bits: int) -> DataFrame:
-    """A row ``(id, node, n)`` per document, and rows ``(part, counts)`` of a task's column counts."""
+def fingerprint(found: np.ndarray) -> int:
+    """SimHash of distinct shingles, as a signed number; zero without shingles."""
+    ones = np.zeros(64, np.int64)
+    for at in range(0, len(found), 1 << 16):
+        part = found[at : at + (1 << 16)].astype("<u8")
+        ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * ones > len(found), bitorder="little").view("<i8")[0])
+
+
+def _described(slim: DataFrame, width: int, bits: int, prints: bool = False) -> DataFrame:
+    """A row ``(id, node, n, fp)`` per document, and rows ``(part, counts)`` of a task's column
+    counts; ``fp`` is the fingerprint where asked for."""
     schema = T.StructType(
         [
             T.StructField("id", slim.schema["id"].dataType),
             T.StructField("node", T.BinaryType()),
             T.StructField("n", T.LongType()),
+            T.StructField("fp", T.LongType()),
             T.StructField("part", T.IntegerType()),
             T.StructField("counts", T.BinaryType()),
         ]
@@ -116,18 +127,20 @@ def _described(slim: DataFrame, width: int, bits: int) -> DataFrame:
 
         size = 0
         for batch in batches:
-            texts, nodes, sizes = batch.column("text").cast(pa.binary()), [], []
+            texts, nodes, sizes, fps = batch.column("text").cast(pa.binary()), [], [], []
             for k in range(batch.num_rows):
                 found = shingles(texts[k].as_py(), width)
                 nodes.append(xxhash.xxh3_128_digest(found.tobytes()))
                 sizes.append(len(found))
+                fps.append(fingerprint(found) if prints else None)
                 waiting.append(found)
                 size += len(found)
                 if size >= COUNTED:
                     count()
                     size = 0
             none = pa.nulls(batch.num_rows)
-            columns = [batch.column("id"), pa.array(nodes, pa.binary()), pa.array(sizes, pa.int64()), none, none]
+            columns = [batch.column("id"), pa.array(nodes, pa.binary()), pa.array(sizes, pa.int64())]
+            columns += [pa.array(fps, pa.int64()), none, none]
             yield pa.RecordBatch.from_arrays(
                 [c.cast(f.type) for c, f in zip(columns, target, strict=True)], schema=target
             )
@@ -136,7 +149,7 @@ def _described(slim: DataFrame, width: int, bits: int) -> DataFrame:
         parts = [(k, x) for k, x in enumerate(np.split(seen, PARTS)) if x.any()]
         if parts:
             none = pa.nulls(len(parts))
-            columns = [none, none, none, pa.array([k for k, _ in parts], pa.int32())]
+            columns = [none, none, none, none, pa.array([k for k, _ in parts], pa.int32())]
             columns.append(pa.array([zlib.compress(x.tobytes(), 1) for _, x in parts], pa.binary()))
             yield pa.RecordBatch.from_arrays(
                 [c.cast(f.type) for c, f in zip(columns, target, strict=True)], schema=target
@@ -327,9 +340,19 @@ def _crowded_links(dense: DataFrame, links: DataFrame, matrix: DataFrame, percen
 
 
 def links(
-    slim: DataFrame, nodes: DataFrame, common: np.ndarray, width: int, percent: int, bits: int
+    slim: DataFrame,
+    nodes: DataFrame,
+    common: np.ndarray,
+    width: int,
+    percent: int,
+    bits: int,
+    candidates: DataFrame | None = None,
 ) -> DataFrame:
-    """Pairs ``(a, b)`` of node numbers that connect all linked nodes."""
+    """Pairs ``(a, b)`` of node numbers that connect all linked nodes.
+
+    ``candidates`` of another filter, ``(num_a, n_a, num_b, n_b)``, are multiplied as well: what
+    they link needs no comparing in crowded columns.
+    """
     first = _rarest(slim, width, percent, bits, common).dropDuplicates(["node"])
     posted = first.join(nodes.select("node", "num", "n"), "node").select(
         "num", "n", F.posexplode("keys").alias("pos", "key")
@@ -337,11 +360,16 @@ def links(
     posted = written(posted.select("key", "num", "n", F.col("pos").cast("long").alias("pos")), "ngram-postings")
     counts = posted.groupBy("key").count().filter("count > 1")
     shared = written(posted.join(counts, "key"), "ngram-shared")
+    discarded(posted)
     sparse = shared.filter(F.col("count") <= CROWDED).drop("count")
     dense = shared.filter(F.col("count") > CROWDED).drop("count")
     crowded = dense.groupBy("num").agg(F.count(F.lit(1)).alias("crowded"))
     dense = written(dense.join(crowded, "num"), "ngram-dense")
-    pairs = written(_met(sparse, crowded, percent), "ngram-pairs")
+    met = _met(sparse, crowded, percent)
+    if candidates is not None:
+        met = met.unionByName(_ordered(candidates)).distinct()
+    pairs = written(met, "ngram-pairs")
+    discarded(shared)
     used = pairs.select(F.col("a").alias("num")).union(pairs.select("b")).union(dense.select("num")).distinct()
     wanted = written(nodes.join(used, "num", "left_semi"), "ngram-wanted")
     # the texts of these nodes: first by a bounded set of marks, then by node
@@ -356,7 +384,25 @@ def links(
         "ngram-incidence",
     )
     found = written(_multiplied(pairs, matrix, percent), "ngram-links")
-    return found if dense.isEmpty() else _crowded_links(dense, found, matrix, percent)
+    out = found if dense.isEmpty() else _crowded_links(dense, found, matrix, percent)
+    discarded(matrix, dense)
+    return out
+
+
+def described(
+    slim: DataFrame, width: int, bits: int, prints: bool = False
+) -> tuple[DataFrame, DataFrame, np.ndarray]:
+    """Rows ``(id, node, n, fp)``, the nodes with shingles by number, and how common columns are."""
+    stated = written(_described(slim, width, bits, prints), "ngram-described")
+    rows = stated.filter("part is null").select("id", "node", "n", "fp")
+    nodes = written(
+        rows.filter("n > 0")
+        .groupBy("node")
+        .agg(F.min("id").alias("first"), F.first("n").alias("n"), F.first("fp").alias("fp"))
+        .withColumn("num", F.monotonically_increasing_id()),
+        "ngram-nodes",
+    )
+    return rows, nodes, _commonness(stated.filter("part is not null").select("part", "counts"), bits)
 
 
 def join(
@@ -369,16 +415,7 @@ def join(
 ) -> DataFrame:
     """One row per document: id, ``n_shingles`` and ``component_id``, the smallest id reachable."""
     slim = _slim(docs, id_col, text_col)
-    described = written(_described(slim, width, sketch_bits), "ngram-described")
-    rows = described.filter("part is null").select("id", "node", "n")
-    nodes = written(
-        rows.filter("n > 0")
-        .groupBy("node")
-        .agg(F.min("id").alias("first"), F.first("n").alias("n"))
-        .withColumn("num", F.monotonically_increasing_id()),
-        "ngram-nodes",
-    )
-    common = _commonness(described.filter("part is not null").select("part", "counts"), sketch_bits)
+    rows, nodes, common = described(slim, width, sketch_bits)
     roots = components(links(slim, nodes, common, width, percent, sketch_bits))
     named = nodes.join(roots.withColumnRenamed("node", "num"), "num", "left").withColumn(
         "root", F.coalesce("root", "num")

@@ -182,11 +182,10 @@ def fit(
     limit: int = MAX_LABELLED,
 ) -> Grammar:
     """The grammar learned from labelled rows outside the held-out fold."""
-    rows = _labelled(docs, labels, id_col, text_col, limit).select("text", "label")
-    rows = written(
-        rows.withColumn("like", _likeness("text")).dropDuplicates(["like", "label"]).drop("like"),
-        "toxicity-training",
-    )
+    rows = _labelled(docs, labels, id_col, text_col, limit).withColumn("like", _likeness("text"))
+    # of texts that look alike the smallest id counts, whatever the order of rows
+    first = F.min_by("text", F.struct("id", F.xxhash64("text")))
+    rows = written(rows.groupBy("like", "label").agg(first.alias("text")).select("text", "label"), "toxicity-training")
 
     def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         positive, negative, totals = Counter(), Counter(), Counter()

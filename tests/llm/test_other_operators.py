@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import os
 import zlib
 from collections import Counter, defaultdict
 
@@ -14,7 +15,8 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from rekindle.llm import ann, bpe, chat, mixing, quality, token_files, warc
 from rekindle.llm.queries import QUERIES, tokenizer_path
-from rekindle.session import scratch_path
+from rekindle.llm.common import written
+from rekindle.session import scratch_dir, scratch_path
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -246,7 +248,7 @@ def test_pipeline_stages(spark):
     labels = {r.doc_id: r for r in spark.read.parquet(f"{SMALL}/labels.parquet").collect()}
     columns = docs.columns
     for k, (_, stage) in enumerate(corpus_pipeline.STAGES[:4]):
-        before, docs = docs, stage(spark, docs, SMALL)
+        before, docs = docs, written(stage(spark, docs, SMALL), "stage")
         assert docs.columns == columns
         gone = {r.doc_id for r in before.collect()} - {r.doc_id for r in docs.collect()}
         if k == 1:
@@ -257,6 +259,32 @@ def test_pipeline_stages(spark):
     assert total.count() == docs.count() and set(total.columns) >= {"doc_id", "n_tokens"}
 
 
+def test_pipeline_leaves_only_its_result(spark, tmp_path):
+    """Null texts, extra columns and an empty table go through; nothing else stays in the scratch folder."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").withColumn("copies", F.lit("x"))
+    odd = docs.limit(3).withColumn("text", F.lit(None).cast("string")).withColumn("doc_id", F.lit(None).cast("long"))
+    for name, made in (("full", docs.unionByName(odd)), ("empty", docs.limit(0))):
+        made.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        spark.read.parquet(f"{SMALL}/labels.parquet").write.parquet(f"{tmp_path}/{name}/labels.parquet")
+        before = set(os.listdir(scratch_dir(spark)))
+        out = corpus_pipeline.run(spark, f"{tmp_path}/{name}")
+        left = set(os.listdir(scratch_dir(spark))) - before
+        assert left == {os.path.basename(out.written_to)}
+        assert (out.count() > 0) == (name == "full")
+
+
+def test_stages_remove_what_the_stage_before_left(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[2:4]:
+        before = list(corpus_pipeline._left)
+        made = stage(spark, docs, SMALL)
+        assert not set(before) & set(corpus_pipeline._left)
+        # a plan that still reads the stage's tables keeps them
+        corpus_pipeline.STAGES[1][1](spark, made, SMALL)
+        docs = written(made, "stage")
+        assert docs.count() > 0
+
+
 def test_pipeline_ends_in_tokens(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(20)
     out = corpus_pipeline.encode_tokens(spark, docs, SMALL).collect()
@@ -269,4 +297,4 @@ def test_pipeline_ends_in_tokens(spark):
 
 
 def test_every_operator_is_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))

@@ -14,7 +14,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from rekindle.llm import bpe, lm, near_copies, quality, simhash, toxicity
+from rekindle.llm import bpe, lm, near_copies, ngram_join, quality, simhash, toxicity
 from rekindle.llm.queries import tokenizer_path
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -171,7 +171,7 @@ def _shingle_groups(rows):
 
 @pytest.mark.parametrize("crowded", [32, 2])
 def test_near_copies_against_all_pairs(spark, monkeypatch, crowded):
-    monkeypatch.setattr(near_copies, "CROWDED", crowded)
+    monkeypatch.setattr(ngram_join, "CROWDED", crowded)
     given = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter("n_chars < 20000").limit(500)
     rows = [(r.doc_id, r.text) for r in given.collect()]
     base = [f"w{k}" for k in range(100)]
@@ -184,6 +184,35 @@ def test_near_copies_against_all_pairs(spark, monkeypatch, crowded):
     assert sorted(r.doc_id for r in near_copies.keep_one(made).collect()) == sorted(_shingle_groups(rows))
 
 
+def test_near_copies_odd_rows(spark):
+    """Empty tables, null and repeated ids, repeated rows, clashing names, rows that differ elsewhere."""
+    same, other = "same text here and there", "another text of its own to keep"
+    schema = "doc_id long, text string, id string, node int, n double, fp string, h int, num string"
+    rows = [(None, same), (3, same), (3, other), (3, same), (None, None), (None, " "), (4, None), (5, other + " x")]
+    frame = spark.createDataFrame([(i, t, "a", k, 0.5, "f", k, "z") for k, (i, t) in enumerate(rows)], schema)
+    kept = near_copies.keep_one(frame)
+    assert kept.columns == frame.columns and near_copies.keep_one(frame.limit(0)).collect() == []
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == [(3, other), (3, same), (4, None), (5, other + " x")]
+    again = near_copies.keep_one(frame.repartition(5)).collect()
+    assert sorted(map(str, again)) == sorted(map(str, kept.collect()))
+
+
+def test_shared_passage_is_no_copy(spark):
+    """2,000 different texts that share one passage all stay; a copy of each of some goes."""
+    passage = " ".join(f"p{k}" for k in range(60))
+    rows = [(k, passage + " " + " ".join(f"o{k}_{j}" for j in range(40))) for k in range(2000)]
+    rows += [(10_000 + k, rows[k][1] + " end") for k in range(0, 2000, 100)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r.doc_id for r in near_copies.keep_one(frame).select("doc_id").collect()) == list(range(2000))
+
+
+def test_toxicity_does_not_depend_on_the_order_of_rows(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{n}.parquet") for n in ("documents", "labels"))
+    one = toxicity.assess(docs, labels).collect()
+    two = toxicity.assess(docs.repartition(7), labels.repartition(5, "quality")).collect()
+    assert sorted(one) == sorted(two)
+
+
 def test_simhash_odd_ids(spark):
     rows = [(None, "same text here"), (3, "same text here"), (3, "another text of its own"), (3, "same text here")]
     frame = spark.createDataFrame(rows, "doc_id long, text string")

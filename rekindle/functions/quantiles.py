@@ -3,19 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
-from operator import add, or_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rekindle.sources.tables import materialised
+from rekindle.functions.ranges import running_sums
 
 ACCURACY = 10_000
-# Half width of the bracket around a percentile, in shares of the rows, and the number
-# of equal-width buckets each bracket is cut into.
-MARGIN = 5.0 / ACCURACY
-BUCKETS = 1024
 
 
 def approx(value: str, probs: Sequence[float], names: Sequence[str]) -> list[Column]:
@@ -23,19 +17,6 @@ def approx(value: str, probs: Sequence[float], names: Sequence[str]) -> list[Col
     return [F.percentile_approx(value, p, ACCURACY).alias(n) for p, n in zip(probs, names)]
 
 
-def _bucket(v: Column, edges: Sequence[str]) -> Column:
-    """Order-preserving bucket of a value, fine inside the brackets and coarse outside."""
-    spans = list(zip(edges[::2], edges[1::2]))
-    passed = reduce(add, [(v > F.col(hi)).cast("int") for _, hi in spans])
-    place = F.lit(0)
-    for i, (lo, hi) in enumerate(spans):
-        low, width = F.col(lo), F.col(hi) - F.col(lo)
-        inside = (passed == i) & (width > 0) & (v > low)
-        share = F.least(F.floor((v - low) / width * BUCKETS), F.lit(BUCKETS - 1))
-        place = F.when(inside, share).otherwise(place)
-    return F.when(v.isNotNull(), passed * BUCKETS + place).cast("int")
-
-
 def _per_group(rows: DataFrame, groups: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Every row next to the one row of its group; NULL keys match each other."""
     names = [c for c in groups.columns if c not in keys]
@@ -57,96 +38,35 @@ def exact(
 ) -> DataFrame:
     """Exact interpolated percentiles of ``value`` per group, next to other aggregates.
 
-    The aggregate function for exact percentiles keeps all distinct values of a group in
-    one task. This takes three passes and never gathers a group:
-
-    1. a sketch brackets each percentile (and yields the other, numeric, aggregates);
-    2. counts per order-preserving bucket, combined on the map side to at most
-       ``BUCKETS`` rows per bracket, tell in which bucket each wanted rank lies;
-    3. only the values of those buckets are ranked, each bucket by itself.
-
-    Passes 2 and 3 run on distinct values with counts. A bucket is a task's work in pass 3: with
-    a long tail it may hold the distinct values of two margins, 0.1 % of a group.
-
-    The sketch only decides how even the buckets are; the result does not depend on it.
+    The aggregate function for exact percentiles keeps all distinct values of a group in one task.
+    Here distinct values with their counts, combined on the map side, are dealt out by ranges of
+    (group, value); running counts over these ranges tell where each wanted rank lies. A group of
+    any size is spread over tasks, and a value that fills a third of it travels once per task.
     """
     extra = dict(aggregates or {})
     rows = df.withColumn("_v", F.col(value).cast("double"))
     v = F.col("_v")
-    # Distinct values with their counts, combined on the map side and written once: what the
-    # passes below join and shuffle does not grow with the rows of a hot group.
-    needed = materialised(
-        rows.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_w")), "quantile-values"
-    )
-    weight = F.coalesce(F.sum(F.when(v.isNotNull(), F.col("_w"))), F.lit(0))
-    cuts = [c for p in probs for c in (max(0.0, p - MARGIN), min(1.0, p + MARGIN))]
-    edges = [f"_edge_{i}" for i in range(len(cuts))]
-    stats = rows.groupBy(*keys).agg(
-        F.percentile_approx("_v", cuts, ACCURACY).alias("_cuts"),
-        *[c.alias(n) for n, c in extra.items()],
-    )
-    stats = stats.select(
-        *keys, *[F.get("_cuts", F.lit(i)).alias(e) for i, e in enumerate(edges)], *extra
-    )
+    # NULL values keep their group but take no rank.
+    weight = F.when(v.isNotNull(), F.count(F.lit(1))).otherwise(0)
+    counts = rows.groupBy(*keys, "_v").agg(weight.alias("_w"))
     if not keys:
-        # An empty table still has its one global row: a NULL value keeps it alive.
+        # An empty table still has its one global row.
         nothing = df.sparkSession.range(1).select(
             F.lit(None).cast("double").alias("_v"), F.lit(0).cast("long").alias("_w")
         )
-        needed = needed.union(nothing)
-    carried = [F.any_value(c).alias(c) for c in (*edges, *extra)]
-
-    # NULL values form a bucket of no rows: it keeps their group but takes no rank.
-    counts = (
-        _per_group(needed, stats, keys)
-        .groupBy(*keys, _bucket(v, edges).alias("_b"))
-        .agg(weight.alias("_n"), *carried)
-    )
-    group = Window.partitionBy(*keys)
-    upto = group.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
-    counts = counts.select(
-        "*", F.sum("_n").over(upto).alias("_upto"), F.sum("_n").over(group).alias("_total")
-    )
-    positions = [F.lit(float(p)) * (F.col("_total") - 1) for p in probs]
-    ranks = [(F.floor(x), F.ceil(x)) for x in positions]
+        counts = counts.union(nothing)
+    ranked = running_sums(counts, keys, [v.asc_nulls_first()], {"_upto": "_w"}, {"_total": "_w"})
 
     def holds(rank: Column) -> Column:
-        return (rank >= F.col("_upto") - F.col("_n")) & (rank < F.col("_upto"))
-
-    wanted = reduce(or_, [holds(r) for pair in ranks for r in pair])
-    start = F.col("_upto") - F.col("_n")
-    plan = (
-        counts.where(wanted | F.col("_b").isNull())
-        .groupBy(*keys)
-        .agg(
-            # At most two buckets per percentile.
-            F.map_from_entries(
-                F.collect_list(F.when(F.col("_b").isNotNull(), F.struct("_b", start.alias("s"))))
-            ).alias("_starts"),
-            F.max("_total").alias("_total"),
-            *carried,
-        )
-    )
+        return (rank >= F.col("_upto") - F.col("_w")) & (rank < F.col("_upto"))
 
-    ranked = (
-        _per_group(needed, plan, keys)
-        .withColumn("_start", F.try_element_at("_starts", _bucket(v, edges)))
-        .where(F.col("_start").isNotNull() | v.isNull())
-        .groupBy(*keys, "_start", "_v")
-        .agg(
-            weight.alias("_n"),
-            F.any_value("_total").alias("_total"),
-            *[F.any_value(n).alias(n) for n in extra],
-        )
-    )
-    within = (
-        Window.partitionBy(*keys, "_start")
-        .orderBy("_v")
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
-    ranked = ranked.withColumn("_upto", F.col("_start") + F.sum("_n").over(within))
     tiles: list[Column] = []
-    for x, (floor, ceil), name in zip(positions, ranks, names):
-        low, high = F.max(F.when(holds(floor), v)), F.max(F.when(holds(ceil), v))
+    for p, name in zip(probs, names):
+        x = F.lit(float(p)) * (F.col("_total") - 1)
+        low, high = F.max(F.when(holds(F.floor(x)), v)), F.max(F.when(holds(F.ceil(x)), v))
         tiles.append((low + (high - low) * F.max(x - F.floor(x))).alias(name))
-    return ranked.groupBy(*keys).agg(*[F.any_value(n).alias(n) for n in extra], *tiles)
+    found = ranked.groupBy(*keys).agg(*tiles)
+    if not extra:
+        return found
+    others = rows.groupBy(*keys).agg(*[c.alias(n) for n, c in extra.items()])
+    return _per_group(found, others, keys).select(*keys, *extra, *names)

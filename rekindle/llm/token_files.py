@@ -21,6 +21,7 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rekindle.llm.bpe import chunks, encode_chunks
+from rekindle.llm.bpe import encode_chunks
 from rekindle.llm.common import ragged_take
 
 END_ID = 2
@@ -154,12 +155,21 @@ def decode_segment(data: bytes) -> np.ndarray:
     return out
 
 
+class _Numbers(dict):
+    """Numbers of chunks in the order in which they are first met."""
+
+    def __missing__(self, chunk: bytes) -> int:
+        number = self[chunk] = len(self)
+        return number
+
+
 class _Words:
-    """Ids of the words that a worker has seen; when there are too many, of those seen again."""
+    """Ids of the chunks between white space that a worker has seen; when there are too many, of
+    those seen again."""
 
     def __init__(self, path: str):
         self.path = path
-        self.number: dict[str, int] = {}
+        self.number = _Numbers()
         self.starts, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.seen, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int32)
 
@@ -175,25 +185,31 @@ class _Words:
         words = [w for w, k in self.number.items() if keep[k]]
         old = np.flatnonzero(keep)
         self.ids, lengths = ragged_take(self.starts, self.lengths, self.ids, old)
-        self.number = dict(zip(words, range(len(words)), strict=True))
+        self.number = _Numbers(zip(words, range(len(words)), strict=True))
         self.lengths, self.starts = lengths, np.cumsum(lengths) - lengths
         self.seen = np.ones(len(words), np.int64)
 
-    def take(self, words: list[str], sequence: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def take(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts on end, and how many each text has. Null texts have none."""
         if len(self.number) > KEPT_WORDS:
             self.forget()
-        new = [w for w in words if w not in self.number]
+        first, of = len(self.number), self.number.__getitem__
+        parts, counts = [np.zeros(0, np.int32)], np.zeros(len(texts), np.int64)
+        for k, text in enumerate(texts.cast(pa.binary())):
+            chunks = (text.as_py() or b"").split()
+            counts[k] = len(chunks)
+            parts.append(np.fromiter(map(of, chunks), np.int32, len(chunks)))
+        sequence = np.concatenate(parts)
+        new = [w.decode() for w in islice(self.number, first, None)]
         ids, lengths = encode_chunks(self.path, new)
-        starts = len(self.ids) + np.cumsum(lengths) - lengths
-        first = len(self.number)
-        self.number.update(zip(new, range(first, first + len(new)), strict=True))
-        self.starts = np.concatenate((self.starts, starts))
+        self.starts = np.concatenate((self.starts, len(self.ids) + np.cumsum(lengths) - lengths))
         self.lengths = np.concatenate((self.lengths, lengths))
-        self.seen = np.concatenate((self.seen, np.zeros(len(new), np.int64)))
         self.ids = np.concatenate((self.ids, ids))
-        own = np.fromiter((self.number[w] for w in words), np.int64, len(words))
-        self.seen[own] += 1
-        return ragged_take(self.starts, self.lengths, self.ids, own[sequence])
+        self.seen = np.concatenate((self.seen, np.zeros(len(new), np.int64)))
+        self.seen += np.bincount(sequence, minlength=len(self.seen)) > 0
+        out, each = ragged_take(self.starts, self.lengths, self.ids, sequence)
+        ends = np.concatenate(([0], np.cumsum(each)))[np.cumsum(counts)]
+        return out, np.diff(np.concatenate(([0], ends)))
 
 
 def write_token_files(
@@ -232,11 +248,9 @@ def write_token_files(
 
         def one(pending: list[pa.RecordBatch]) -> pa.RecordBatch:
             data = pa.Table.from_batches(pending).combine_chunks()
-            sequence, words, counts = chunks(data["text"].chunk(0))
-            ids, each = seen.take(words, sequence)
-            ends = np.concatenate(([0], np.cumsum(each)))[np.cumsum(counts)]
-            ids = np.insert(ids.astype(np.uint32), ends, end_id)
-            lengths = np.diff(np.concatenate(([0], ends))) + 1
+            found, each = seen.take(data["text"].chunk(0))
+            ids = np.insert(found.astype(np.uint32), np.cumsum(each), end_id)
+            lengths = each + 1
             row = {
                 "shard": shard,
                 "segment": segment,

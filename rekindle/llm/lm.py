@@ -70,30 +70,37 @@ class NGrams:
         n = len(words)
         ends = np.cumsum(per_text)
         #: Place of each word in its own text.
-        self.place = np.arange(n) - np.repeat(ends - per_text, per_text)
-        local, found, self.offsets = words.astype(np.int64), hashes, [0]
+        self.place = np.arange(n, dtype=np.int32)
+        self.place -= np.repeat((ends - per_text).astype(np.int32), per_text)
+        local, found, self.offsets = words.astype(np.int32), hashes, [0]
         pools, occurrences, self.at = [], [], []
         for k in range(1, order + 1):
             if k > 1:
                 ok = np.flatnonzero(self.place >= k - 1)
-                code = local[ok - 1] * len(hashes) + words[ok]
+                code = local[ok - 1].astype(np.int64)
+                code *= len(hashes)
+                code += words[ok]
                 distinct, inverse = np.unique(code, return_inverse=True)
+                del code
                 found = mix(found[distinct // len(hashes)], hashes[distinct % len(hashes)])
-                local = np.full(n, -1, np.int64)
+                local = np.full(n, -1, np.int32)
                 local[ok] = inverse
+                del ok, distinct, inverse
             pools.append(mix(found, np.full(len(found), k, np.uint64)))
             occurrences.append(np.bincount(local[local >= 0], minlength=len(found)))
-            self.at.append(np.where(local >= 0, local + self.offsets[-1], -1))
+            self.at.append(np.where(local >= 0, local + np.int32(self.offsets[-1]), np.int32(-1)))
             self.offsets.append(self.offsets[-1] + len(found))
         pool = np.concatenate(pools)
-        group = (pool >> np.uint64(32)) % np.uint64(groups)
-        order_ = np.argsort(group, kind="stable")
-        number = np.empty(len(pool), np.int64)
-        number[order_] = np.arange(len(pool))
+        del pools, local, found
+        group = ((pool >> np.uint64(32)) % np.uint64(groups)).astype(np.int32)
+        order_ = np.argsort(group, kind="stable").astype(np.int32)
+        number = np.empty(len(pool), np.int32)
+        number[order_] = np.arange(len(pool), dtype=np.int32)
         self.hashes, self.counts = pool[order_], np.concatenate(occurrences)[order_]
         self.cuts = np.searchsorted(group[order_], np.arange(groups + 1))
+        del pool, group, occurrences, order_
         #: By order, the number of the n-gram that ends at each word, -1 if the text is too short.
-        self.at = [np.where(a >= 0, number[a], -1) for a in self.at]
+        self.at = [np.where(a >= 0, number[a], np.int32(-1)) for a in self.at]
 
 
 def _blocks(slim: DataFrame) -> DataFrame:

@@ -140,13 +140,13 @@ def _with_models(*names: str) -> str:
 
 
 @query(on_features(
-    f"+ {model_sql.SPLITS}, {model_sql.vectors('all_', 'TRUE', *_ALL)} SELECT user_id, MAX(will_reactivate) AS label, "
-    "list(ROUND(x, 9) ORDER BY position) AS features FROM all__x JOIN splits USING (user_id) GROUP BY user_id"))
+    f"+ {model_sql.SPLITS}, {model_sql.vectors('all_', 'TRUE', *_ALL)} SELECT user_id, will_reactivate AS label, "
+    "CAST(position AS INTEGER) AS position, ROUND(x, 9) AS value FROM all__x JOIN splits USING (user_id)"))
 def ml_prepare(spark: SparkSession, root: str) -> DataFrame:
     table = materialised(feature_table(spark, root), "features")
     fitted = Preparation.fit(table, scratch_path(spark, "preparation"))
-    vector = F.transform(training.vector_to_array("features"), lambda x: F.round(x, 9))
-    return fitted.transform(table).select(KEY, F.col(LABEL).alias("label"), vector.alias("features"))
+    places = F.posexplode(training.vector_to_array("features")).alias("position", "value")
+    return rounded(fitted.transform(table).select(KEY, F.col(LABEL).alias("label"), places), "value", digits=9)
 
 
 _TRIALS = ", ".join(f"('run_{i:03d}', '{family}')" for i, (family, _) in enumerate(training.GRID))
@@ -162,14 +162,13 @@ JOIN (SELECT split, COUNT(*) AS n FROM splits GROUP BY split) USING (split)"""))
 def ml_train_trials(spark: SparkSession, root: str) -> DataFrame:
     search = training.train_trials(feature_table(spark, root))
     steep = training.logistic_gradient(search.ready.where(F.col("split") == "train"), search.models["run_000"])
-    optimal = steep.agg((F.max(F.abs("gradient")) < 1e-5).alias("flat"))
+    flat = steep.agg((F.max(F.abs("gradient")) < 1e-5).alias("flat")).scalar()
     sizes = search.scores.groupBy("run_id", "split").agg(F.count("probability").alias("n"))
     prefix = F.when(F.col("split") == "validation", "val_").otherwise("test_")
     value = F.col("value")
     return (
         search.trials.join(sizes.withColumn("_of", prefix), "run_id")
         .where(F.col("metric").startswith(F.col("_of")))
-        .crossJoin(optimal)  # one row
         .select(
             "experiment",
             "run_id",
@@ -177,7 +176,7 @@ def ml_train_trials(spark: SparkSession, root: str) -> DataFrame:
             "metric",
             "n",
             F.coalesce((value >= 0) & ((value <= 1) | F.col("metric").endswith("log_loss")), F.lit(False)).alias("in_range"),
-            F.when(F.col("run_id") == "run_000", F.col("flat")).alias("optimal"),
+            F.when(F.col("run_id") == "run_000", flat).alias("optimal"),
         )
     )
 
@@ -257,9 +256,9 @@ def registered(spark: SparkSession, table: DataFrame, *aliases: str) -> Registry
     registry = Registry(spark, scratch_path(spark, "registry"))
     for alias in aliases:
         inputs = _ALL if alias == CHAMPION else _FEW
-        search = training.train_trials(table, _BAYES, numeric=inputs[0], flags=inputs[1], categorical=inputs[2])
-        run = training.best_run(search)
-        registry.assign(MODEL, alias, registry.register(MODEL, search.models[run], run, "naive_bayes"))
+        _, models = training.fitted_trials(table, _BAYES, numeric=inputs[0], flags=inputs[1], categorical=inputs[2])
+        (run, fitted), = models.items()
+        registry.assign(MODEL, alias, registry.register(MODEL, fitted, run, "naive_bayes"))
     return registry
 
 

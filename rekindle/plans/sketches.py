@@ -46,8 +46,8 @@ def merged(rows: DataFrame, keys: Sequence[str], k: int = K) -> DataFrame:
     n = F.sum("n")
     mean = F.sum(F.col("mean") * F.col("n")) / n
     # weighted variance of the means, as a difference to one of them
-    first = F.min("mean")
-    shifted = rows.join(rows.groupBy(*keys).agg(first.alias("_at")), list(keys)) if keys else rows.crossJoin(rows.agg(first.alias("_at")))
+    least = rows.groupBy(*keys).agg(F.min("mean").alias("_at"))
+    shifted = rows.join(least, list(keys)) if keys else rows.withColumn("_at", least.scalar())
     gap = F.col("mean") - F.col("_at")
     between = F.sum(gap * gap * F.col("n")) - F.pow(F.sum(gap * F.col("n")), F.lit(2)) / n
     return shifted.groupBy(*keys).agg(

@@ -102,21 +102,18 @@ def with_scores(ready: DataFrame, models: dict[str, Fitted], kept: Sequence[str]
     return out.select(*kept, F.inline(F.array(*cells)))
 
 
-def train_trials(
+def fitted_trials(
     features: DataFrame,
     grid: Sequence[tuple[str, dict]] = GRID,
     label: str = LABEL,
     key: str = KEY,
-    experiment: str = "reactivation",
     numeric: Sequence[str] = NUMERIC_FEATURES,
     flags: Sequence[str] = BOOLEAN_FEATURES,
     categorical: Sequence[str] = CATEGORICAL_FEATURES,
-) -> Search:
-    """Fit every grid entry on the training split and measure it on the other two.
+) -> tuple[DataFrame, dict[str, Fitted]]:
+    """Vectors of all splits ``(key, label, split, features)``, written, and every run's fitted parts.
 
-    ``trials`` holds (experiment, run_id, start_time, model_family, metric, value) rows
-    with metrics named ``val_*`` and ``test_*``. All fits read one written table of vectors; all
-    scores come from one scan of the rest and are written before they are measured.
+    All fits read one written table of vectors, prepared on the training split alone.
     """
     spark = features.sparkSession
     inputs = dict.fromkeys([key, label, *numeric, *flags, *categorical])
@@ -128,6 +125,27 @@ def train_trials(
     ready = materialised(preparation.transform(split).select(*columns), "prepared")
     fitted = fit_all(ready.where(F.col("split") == "train").select("label", "features"), grid)
     models = {f"run_{i:03d}": Fitted(preparation, model) for i, model in enumerate(fitted)}
+    return ready, models
+
+
+def train_trials(
+    features: DataFrame,
+    grid: Sequence[tuple[str, dict]] = GRID,
+    label: str = LABEL,
+    key: str = KEY,
+    experiment: str = "reactivation",
+    numeric: Sequence[str] = NUMERIC_FEATURES,
+    flags: Sequence[str] = BOOLEAN_FEATURES,
+    categorical: Sequence[str] = CATEGORICAL_FEATURES,
+) -> Search:
+    """Fit every grid entry on the training split and measure it on the other two.
+
+    ``trials`` holds (experiment, run_id, start_time, model_family, metric, value) rows
+    with metrics named ``val_*`` and ``test_*``. All scores come from one scan of the vectors and
+    are written before they are measured.
+    """
+    spark = features.sparkSession
+    ready, models = fitted_trials(features, grid, label, key, numeric, flags, categorical)
     held_out = ready.where(F.col("split") != "train")
     scores = materialised(with_scores(held_out, models, [key, "label", "split"]), "trial_scores")
     runs = [(f"run_{i:03d}", i, family) for i, (family, _) in enumerate(grid)]

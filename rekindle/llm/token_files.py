@@ -42,7 +42,7 @@ BLOCK_TOKENS = 1 << 18
 SEGMENT_BYTES = 8 << 20
 SHARD_BYTES = 24 << 20
 #: Distinct words a task keeps with their ids before it starts anew.
-KEPT_WORDS = 800_000
+KEPT_WORDS = 500_000
 MAGIC = b"RKT1"
 
 

@@ -51,8 +51,9 @@ CROWDED = 32
 MORE = 16
 #: Blocks of columns in which surviving pairs are multiplied.
 BLOCKS = 8
-#: Entries of the table of column counts (a byte each where it is sent to tasks).
-SKETCH_BITS = 22
+#: Entries of the table of column counts (a byte each where it is sent to tasks); with fewer, rare
+#: columns look common on large inputs and more pairs meet.
+SKETCH_BITS = 24
 #: Parts in which tasks state their counts, and shingles counted at a time.
 PARTS = 64
 COUNTED = 1 << 20
@@ -122,7 +123,8 @@ def _described(slim: DataFrame, width: int, bits: int, prints: bool = False) ->
         seen, waiting = np.zeros(1 << bits, np.int32), []
 
         def count() -> None:
-            np.add(seen, np.bincount(_bucket(np.concatenate(waiting), bits), minlength=1 << bits), out=seen, casting="unsafe")
+            at, times = np.unique(_bucket(np.concatenate(waiting), bits), return_counts=True)
+            seen[at] += times.astype(np.int32)
             waiting.clear()
 
         size = 0
@@ -323,7 +325,9 @@ def _crowded_links(dense: DataFrame, links: DataFrame, matrix: DataFrame, percen
                 pairs = pairs.join(own, f"num_{name}", "left")
             apart = F.coalesce("root_a", "num_a") != F.coalesce("root_b", "num_b")
             pairs = pairs.filter(apart).select("num_a", "n_a", "num_b", "n_b")
-        new = _multiplied(written(_ordered(pairs), "ngram-pairs"), matrix, percent)
+        pairs = written(_ordered(pairs), "ngram-pairs")
+        ends = pairs.select(F.col("a").alias("num")).union(pairs.select("b")).distinct()
+        new = _multiplied(pairs, matrix.join(ends, "num", "left_semi"), percent)
         links = written(links.unionByName(new).distinct(), "ngram-links")
         roots = written(components(links), "ngram-roots")
         # rows of a column's largest component are compared by those outside of it

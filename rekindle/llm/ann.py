@@ -1,16 +1,20 @@
 """Approximate nearest neighbours in a hash-prefix forest.
 
 Each tree gives a vector a string of 63 hash bits, the sides of random hyperplanes through the
-middle of a sample, and keeps all strings in one sorted array. A query descends to its place in
-the array; the entries around it share the longest prefixes with it. From there all trees ascend
-in step: each gives the same number of entries on either side, which have ever shorter prefixes
-in common. They are compared by exact distance where they lie, and the best of each tree merged.
-
-How many entries a tree gives decides between recall and work, and follows from the table: for a
-sample of the queries (``TRIED``) the nearest entries are found by comparing all, and the number
-is the least that brings ``AIM`` of them up, ``WIDTH`` on either side at least. Vectors without
-structure, such as directions spread evenly over 64 dimensions, need a number that grows about as
-the table does, so the work on them grows with its square.
+middle of a sample, and keeps all strings in one sorted array. A query descends in every tree to
+the entries that share its longest prefix: binary searches in the array tell how many entries
+share each length of prefix. From there all trees ascend in step, bit by bit, until together they
+hold enough entries that share so long a prefix. These are compared by exact distance where they
+lie, and the best of each tree merged. A tree gives at most ``reach`` entries on either side, so
+that many equal strings are no large group; its nearest neighbours in the array come first.
+
+How many entries are enough decides between recall and work, and follows from the table: for a
+sample of the queries (``TRIED``) the nearest entries are found by comparing all. ``reach`` is
+``SPREAD`` times the places in the array that bring ``AIM`` of them up (``WIDTH`` at least), and
+the ascent ends with the least number of entries at whose depth ``AIM`` of them are among those
+(``2 * WIDTH`` for each tree at least). Vectors without structure, such as directions spread evenly
+over 64 dimensions, need a number that grows about as the table does, so the work on them grows
+with its square.
 
 The arrays are sorted by range partitions and numbered by position, so a block holds a fixed
 number of entries whatever their strings: many equal or close strings make no large group. Equal
@@ -41,10 +45,12 @@ from rekindle.llm.common import written
 
 TREES = 24
 BITS = 63
-#: Entries on either side that each tree gives a query, at least.
+#: Entries on either side that each tree looks at, at least.
 WIDTH = 800
-#: Queries that are compared with all entries to find the width, and the share of their nearest
-#: that it has to bring up.
+#: A tree's reach in widths: prefixes rarely lie evenly about a query.
+SPREAD = 4
+#: Queries that are compared with all entries to find how many are enough, and the share of their
+#: nearest that those have to bring up.
 TRIED = 256
 AIM = 0.95
 SAMPLE = 20_000
@@ -191,10 +197,14 @@ def exact(index: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     )
 
 
-def width_for(array: DataFrame, index: DataFrame, queries: DataFrame, k: int) -> int:
-    """Entries on either side that bring ``AIM`` of the nearest up, by a sample of the queries."""
+def tried(index: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """(query, entry): the nearest entries of a sample of the queries."""
     few = queries.orderBy(F.xxhash64("entry", F.lit("tried")), "entry").limit(TRIED)
-    pairs = written(exact(index, few, k), "ann-tried")
+    return written(exact(index, few, k), "ann-tried")
+
+
+def width_for(array: DataFrame, pairs: DataFrame) -> int:
+    """Entries on either side that bring ``AIM`` of the pairs up."""
     places = array.select("tree", "entry", "rank")
     asked = pairs.join(places.withColumnsRenamed({"entry": "query", "rank": "q_rank"}), "query")
     apart = F.min(F.abs(F.col("rank") - F.col("q_rank"))).alias("apart")
@@ -205,8 +215,90 @@ def width_for(array: DataFrame, index: DataFrame, queries: DataFrame, k: int) ->
     return max([WIDTH, *needed[: math.ceil(len(needed) * AIM)]])
 
 
-def _around(width: int, k: int, component: str):
-    """The best entries next to each query in one block, by exact distance."""
+def _descend(reach: int):
+    """For every length of prefix, how many entries of one block share it with a query, within reach."""
+    free = np.uint64(BITS) - np.arange(BITS + 1, dtype=np.uint64)
+
+    def run(array: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        array = array.sort_values("rank")
+        rank, tree, keys = (array[c].to_numpy() for c in ("rank", "tree", "key"))
+        for q in queries.itertuples(index=False):
+            low = max(np.searchsorted(rank, q.q_rank - reach), np.searchsorted(tree, q.q_tree))
+            high = min(np.searchsorted(rank, q.q_rank + reach + 1), np.searchsorted(tree, q.q_tree, side="right"))
+            if low < high:
+                own = keys[low:high].astype(np.uint64)
+                least = np.uint64(q.q_key) >> free << free
+                most = least | ((np.uint64(1) << free) - np.uint64(1))
+                before, after = np.searchsorted(rank[low:high], [q.q_rank, q.q_rank + 1])
+                left = np.maximum(0, before - np.searchsorted(own, least))
+                right = np.maximum(0, np.searchsorted(own, most, side="right") - after)
+                out.append((q.q_entry, q.q_tree, left.tolist(), right.tolist()))
+        return pd.DataFrame(out, columns=["query", "tree", "left", "right"])
+
+    return run
+
+
+def descents(array: DataFrame, queries: DataFrame, reach: int) -> DataFrame:
+    """(query, tree, left, right): entries on either side by the length of the prefix they share."""
+    asked = array.join(queries.select("entry"), "entry", "left_semi")
+    first = F.floor(F.greatest(F.lit(0), F.col("rank") - reach) / BLOCK)
+    routed = asked.select(
+        F.explode(F.sequence(first, F.floor((F.col("rank") + reach) / BLOCK))).alias("block"),
+        *[F.col(c).alias(f"q_{c}") for c in ("tree", "entry", "rank", "key")],
+    )
+    blocks = array.select("tree", "key", "rank", F.floor(F.col("rank") / BLOCK).alias("block"))
+    return (
+        blocks.groupBy("block")
+        .cogroup(routed.groupBy("block"))
+        .applyInPandas(_descend(reach), "query long, tree int, left array<long>, right array<long>")
+    )
+
+
+def _sides(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    return np.stack(rows["left"].to_numpy()), np.stack(rows["right"].to_numpy())
+
+
+def ascended(down: DataFrame, enough: int) -> DataFrame:
+    """(query, tree, depth, before, after): where the trees, ascending together, hold enough entries."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        left, right = _sides(rows)
+        deep = np.flatnonzero((left + right).sum(axis=0) >= enough)
+        depth = int(deep[-1]) if len(deep) else 0
+        found = rows[["query", "tree"]].assign(depth=depth, before=left[:, depth], after=right[:, depth])
+        # a tree's entries may lie in several blocks
+        return found.groupby(["query", "tree", "depth"], as_index=False).sum()
+
+    return down.groupBy("query").applyInPandas(run, "query long, tree int, depth int, before long, after long")
+
+
+def enough_for(array: DataFrame, down: DataFrame, pairs: DataFrame, reach: int) -> int:
+    """The least number of entries that ends the ascent with ``AIM`` of the pairs brought up."""
+    places = array.select("tree", "entry", "key", "rank")
+    asked = pairs.join(places.withColumnsRenamed({"entry": "query", "rank": "q_rank", "key": "q_key"}), "query")
+    differ = F.col("key").bitwiseXOR(F.col("q_key"))
+    shared = F.when(differ == 0, BITS).otherwise(BITS - F.length(F.bin(differ)))
+    near = F.abs(F.col("rank") - F.col("q_rank")) <= reach
+    depth = F.max(F.when(near, shared)).alias("depth")
+    depths = asked.join(places, ["tree", "entry"]).groupBy("query", "entry").agg(depth).collect()
+
+    def total(rows: pd.DataFrame) -> pd.DataFrame:
+        left, right = _sides(rows)
+        return pd.DataFrame({"query": [rows["query"].iloc[0]], "total": [(left + right).sum(axis=0).tolist()]})
+
+    few = down.join(F.broadcast(pairs.select("query").distinct()), "query", "left_semi")  # ``TRIED`` rows
+    totals = {r["query"]: r["total"] for r in few.groupBy("query").applyInPandas(total, "query long, total array<long>").collect()}
+    # a pair is brought up unless one bit deeper there are enough already
+    needed = sorted(
+        totals[r["query"]][0] + 1 if r["depth"] is None else [*totals[r["query"]], 0][r["depth"] + 1] + 1
+        for r in depths
+    )
+    return needed[math.ceil(len(needed) * AIM) - 1] if needed else 0
+
+
+def _around(k: int, component: str):
+    """The best of the entries each query ascended to in one block, by exact distance."""
 
     def vectors(column: pd.Series) -> np.ndarray:
         return np.stack([np.frombuffer(x, component) for x in column]).astype(np.float64)
@@ -218,7 +310,7 @@ def _around(width: int, k: int, component: str):
             rank, tree = array["rank"].to_numpy(), array["tree"].to_numpy()
             entry, points = array["entry"].to_numpy(), vectors(array["vec"])
             for row, q in zip(queries.itertuples(index=False), vectors(queries["q_vec"]), strict=True):
-                low, high = np.searchsorted(rank, [row.q_rank - width, row.q_rank + width + 1])
+                low, high = np.searchsorted(rank, [row.q_low, row.q_high + 1])
                 ok = np.flatnonzero(tree[low:high] == row.q_tree) + low
                 # component after component, as a plain loop adds them up
                 score = np.sqrt(np.ascontiguousarray(((points[ok] - q) ** 2).T).sum(axis=0))
@@ -237,10 +329,8 @@ def _around(width: int, k: int, component: str):
     return run
 
 
-def scored(
-    array: DataFrame, index: DataFrame, queries: DataFrame, k: int, width: int = WIDTH
-) -> DataFrame:
-    """(query, entry, score): of every tree the ``k + 1`` nearest of the entries around a query."""
+def scored(array: DataFrame, index: DataFrame, up: DataFrame, k: int) -> DataFrame:
+    """(query, entry, score): of every tree the ``k + 1`` nearest of the entries a query ascended to."""
     element = index.schema["vec"].dataType.elementType.simpleString()
     component = "<f4" if element == "float" else "<f8"
 
@@ -253,18 +343,18 @@ def scored(
 
     vectors = index.select("entry", "vec").mapInArrow(packed, "entry long, vec binary")
     full = array.select("tree", "rank", "entry").join(vectors, "entry")
-    asked = full.join(queries.select("entry"), "entry", "left_semi")
-    first = F.floor((F.greatest(F.lit(0), F.col("rank") - width)) / BLOCK)
-    last = F.floor((F.col("rank") + width) / BLOCK)
+    spans = up.select(F.col("query").alias("entry"), "tree", "before", "after")
+    asked = full.join(spans, ["entry", "tree"])
+    asked = asked.withColumns({"low": F.col("rank") - F.col("before"), "high": F.col("rank") + F.col("after")})
     routed = asked.select(
-        F.explode(F.sequence(first, last)).alias("block"),
-        *[F.col(c).alias(f"q_{c}") for c in ("tree", "entry", "rank", "vec")],
+        F.explode(F.sequence(F.floor(F.col("low") / BLOCK), F.floor(F.col("high") / BLOCK))).alias("block"),
+        *[F.col(c).alias(f"q_{c}") for c in ("tree", "entry", "low", "high", "vec")],
     )
     blocks = full.withColumn("block", F.floor(F.col("rank") / BLOCK))
     return (
         blocks.groupBy("block")
         .cogroup(routed.groupBy("block"))
-        .applyInPandas(_around(width, k, component), "query long, entry long, score double")
+        .applyInPandas(_around(k, component), "query long, entry long, score double")
         .distinct()
     )
 
@@ -280,7 +370,7 @@ def nearest(
 ) -> DataFrame:
     """The ``k`` nearest found of each row where ``is_query`` (a condition on column ``id``).
 
-    By default the width follows from the table.
+    By default what the trees look at follows from the table; ``width`` sets it.
     """
     found = written(usable(df, id_col, vec_col), "ann-vectors")
     index = written(entries(found, k), "ann-entries")
@@ -290,9 +380,14 @@ def nearest(
     )
     queries = asking.select("entry").distinct()
     array = written(forest(index, trees), "ann-forest")
-    if width is None:
-        width = width_for(array, index, queries, k)
-    near = scored(array, index, queries, k, width).join(index.select("entry", "ids"), "entry")
+    pairs = tried(index, queries, k) if width is None else None
+    reach = SPREAD * (width if pairs is None else width_for(array, pairs))
+    down = written(descents(array, queries, reach), "ann-descents")
+    enough = 2 * trees * (WIDTH if width is None else width)
+    if pairs is not None:
+        enough = max(enough, enough_for(array, down, pairs, reach))
+    up = written(ascended(down, enough), "ann-ascents")
+    near = scored(array, index, up, k).join(index.select("entry", "ids"), "entry")
     order = Window.partitionBy("query").orderBy("score", "vec_id")
     # k and one more, as a query may find itself
     short = (

@@ -153,6 +153,30 @@ def test_equal_strings_lie_differently_in_each_tree(spark):
     assert large and all(len(x) == 2 for x in large)
 
 
+def test_trees_ascend_together_by_prefix(spark):
+    """Depths and ranges against a walk over all strings."""
+    rng = np.random.default_rng(9)
+    points = np.vstack([rng.standard_normal((150, 8)), np.ones((1, 8)) + 1e-9 * rng.standard_normal((60, 8))])
+    index = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "entry long, vec array<double>")
+    array = written(ann.forest(index, trees=3), "ann-forest")
+    rows = array.collect()
+    reach, enough = 25, 40
+    queries = index.filter("entry % 7 = 0").select("entry")
+    up = {(r.query, r.tree): r for r in ann.ascended(ann.descents(array, queries, reach), enough).collect()}
+    assert len(up) == 3 * queries.count()
+    for q in range(0, 210, 7):
+        near = []
+        for own in [r for r in rows if r.entry == q]:
+            for r in rows:
+                if r.tree == own.tree and r.entry != q and abs(r.rank - own.rank) <= reach:
+                    near.append((r.tree, 63 - (r.key ^ own.key).bit_length(), r.rank < own.rank))
+        depth = max((d for d in range(64) if sum(x >= d for _, x, _ in near) >= enough), default=0)
+        for tree in range(3):
+            inside = [before for k, x, before in near if k == tree and x >= depth]
+            r = up[q, tree]
+            assert (r.depth, r.before, r.after) == (depth, sum(inside), len(inside) - sum(inside))
+
+
 def test_search_copies_and_bad_vectors(spark):
     rng = np.random.default_rng(3)
     rows = [(k, [float(x) for x in rng.integers(-3, 4, 4)]) for k in range(300)]

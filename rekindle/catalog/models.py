@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rekindle.catalog import model_sql
 from rekindle.catalog.features import RATES, feature_table
-from rekindle.catalog.registry import query, rounded
+from rekindle.catalog.registry import query, rounded, sql_rounded
 from rekindle.catalog.sql import on_features, using
 from rekindle.contracts import (
     BOOLEAN_FEATURES,
@@ -359,7 +359,7 @@ def request_sql(columns) -> str:
 946684800000 AS timestamp_ms, 200 AS status_code, {request_sql(FEATURES)} AS request,
 '{{"predictions":[' || ROUND({CHAMPION_SQL}, 3) || ']}}' AS response FROM features"""))
 def score_log_payload(spark: SparkSession, root: str) -> DataFrame:
-    table = rounded(feature_table(spark, root), *RATES, digits=6)
+    table = sql_rounded(feature_table(spark, root), *RATES, digits=6)
     scored = scoring.score_with_expression(table, scoring.COEFFICIENTS, scoring.INTERCEPT)
-    log = scoring.payload_rows(rounded(scored, "prediction", digits=3), FEATURES, F.lit(SNAPSHOT))
+    log = scoring.payload_rows(sql_rounded(scored, "prediction", digits=3), FEATURES, F.lit(SNAPSHOT))
     return log.select("request_id", "request_date", "timestamp_ms", "status_code", "request", "response")

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rekindle.functions.scalars import sql_round
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -33,3 +35,8 @@ def rounded(df: DataFrame, *columns: str, digits: int = 10) -> DataFrame:
     Ten digits keep means of short decimals away from rounding ties.
     """
     return df.withColumns({c: F.round(c, digits) for c in columns})
+
+
+def sql_rounded(df: DataFrame, *columns: str, digits: int) -> DataFrame:
+    """Doubles rounded as the SQL's ``ROUND`` does, where the digits are part of the result."""
+    return df.withColumns({c: sql_round(c, digits) for c in columns})

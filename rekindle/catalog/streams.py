@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rekindle.catalog.features import RATES, feature_table
 from rekindle.catalog.models import CHAMPION_SQL, FEATURES, request_sql
-from rekindle.catalog.registry import query, rounded
+from rekindle.catalog.registry import query, rounded, sql_rounded
 from rekindle.catalog.sql import on_features, using
 from rekindle.plans import scoring
 from rekindle.session import scratch_path
@@ -65,7 +65,7 @@ def stream_usage_restated(spark: SparkSession, root: str) -> DataFrame:
 @query(on_features(f"""SELECT md5(user_id || '|946684800000') AS request_id, DATE '2000-01-01' AS request_date,
 {request_sql(FEATURES)} AS request, '{{"predictions":[' || ROUND({CHAMPION_SQL}, 3) || ']}}' AS response FROM features"""))
 def stream_score_log(spark: SparkSession, root: str) -> DataFrame:
-    table = rounded(feature_table(spark, root), *RATES, digits=6)
+    table = sql_rounded(feature_table(spark, root), *RATES, digits=6)
     path = scratch_path(spark, "score-feed")
     for _ in range(2):
         table.write.mode("append").parquet(path)

@@ -31,6 +31,19 @@ def percent(part: Column, whole: Column, digits: int = 2) -> Column:
     return F.round(F.try_divide(F.lit(100.0).cast("double") * part, whole.cast("double")), digits)
 
 
+def sql_round(value: Column | str, digits: int) -> Column:
+    """The SQL's ``ROUND(x, digits)`` of a double: ``x * 10^digits`` to the nearest whole number,
+    halves away from zero, divided back; infinite results give ``x`` itself.
+
+    ``F.round`` rounds the shortest decimal form of ``x`` instead, which differs where ``x * 10^digits``
+    is just under a half (0.5046875: 504687.49999999994, 0.504687 in SQL, 0.504688 by ``F.round``).
+    """
+    x = F.col(value) if isinstance(value, str) else value
+    scale = F.lit(float(10**digits))
+    back = F.round(x.cast("double") * scale, 0) / scale
+    return F.when(F.isnan(back) | (F.abs(back) == float("inf")), x.cast("double")).otherwise(back)
+
+
 def relative_difference(base: Column, other: Column) -> Column:
     """``abs(other - base) / abs(base)``; NULL where ``base`` is zero."""
     return F.try_divide(F.abs(other - base), F.abs(base))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from rekindle.functions.scalars import sql_round
 from rekindle.plans import scoring
 
 # The log arrives five to ten minutes late.
@@ -117,7 +118,7 @@ def score_feed(
     """Request-log rows for an arriving feature feed; stateless, row by row."""
     scored = scoring.score_with_expression(feed, coefficients, intercept)
     if digits is not None:
-        scored = scored.withColumn("prediction", F.round("prediction", digits))
+        scored = scored.withColumn("prediction", sql_round("prediction", digits))
     return scoring.payload_rows(scored, columns, at)
 
 

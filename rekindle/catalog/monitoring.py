@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rekindle.catalog.features import feature_table
-from rekindle.catalog.registry import query, rounded
+from rekindle.catalog.registry import query, rounded, sql_rounded
 from rekindle.catalog.sql import FEATURE_CHAIN, using
 from rekindle.contracts import NUMERIC_FEATURES
 from rekindle.functions import quantiles
@@ -47,6 +47,11 @@ _ALL_FEATURES = " UNION ALL ".join(
 _DRIFT_COLUMNS = ("train", "production", "rel_diff")
 
 
+def drift_rounded(report: DataFrame) -> DataFrame:
+    """The report's numbers as the SQL's ``ROUND(x, 6)`` of a double gives them, ties included."""
+    return sql_rounded(report, *_DRIFT_COLUMNS, digits=6)
+
+
 @query(using("payload", """SELECT request_date, COUNT(*) AS requests,
 CAST(SUM(CASE WHEN status_code = 200 THEN 1 ELSE 0 END) AS BIGINT) AS ok,
 CAST(SUM(CASE WHEN status_code <> 200 THEN 1 ELSE 0 END) AS BIGINT) AS errors
@@ -99,7 +104,7 @@ def mon_drift(spark: SparkSession, root: str) -> DataFrame:
         "events_last_90d",
         exact=True,
     )
-    return rounded(report, *_DRIFT_COLUMNS, digits=6)
+    return drift_rounded(report)
 
 
 @query(using(_DRIFT_BASE, _drift_sql(_ALL_FEATURES)))
@@ -110,7 +115,7 @@ def mon_drift_all(spark: SparkSession, root: str) -> DataFrame:
         NUMERIC_FEATURES,
         exact=True,
     )
-    return rounded(report, *_DRIFT_COLUMNS, digits=6)
+    return drift_rounded(report)
 
 
 # Per request: its data rows, and among them those with the column, cut short of it, or with a number.
@@ -164,4 +169,4 @@ def mon_window_from_sketches(spark: SparkSession, root: str) -> DataFrame:
 def mon_drift_from_sketches(spark: SparkSession, root: str) -> DataFrame:
     train = materialised(feature_table(spark, root), "train")
     report = sketches.drift(train, NUMERIC_FEATURES, _stored(spark, root), k=_WIDE)
-    return rounded(report, *_DRIFT_COLUMNS, digits=6)
+    return drift_rounded(report)

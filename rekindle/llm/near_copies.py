@@ -6,8 +6,9 @@
 2. At a similarity of 0.8 fingerprints differ in about ten bits, more than boxes can filter. What
    SimHash leaves apart therefore meets in the rarest columns of the shingle matrix of
    ``ngram_join``, by its size-derived bounds, which lose no pair at 0.8.
-3. All pairs of both filters are compared by their whole sets. Groups are the components of the
-   texts that are linked; what SimHash linked needs no comparing in crowded columns.
+3. Pairs are compared by their whole sets, those of SimHash first. Groups are the components of
+   the texts that are linked; pairs of ``ngram_join`` that SimHash already connected are not
+   compared, nor in crowded columns.
 
 Nothing grows with the square of a group, and texts that only share a passage don't meet.
 

@@ -354,8 +354,8 @@ def links(
 ) -> DataFrame:
     """Pairs ``(a, b)`` of node numbers that connect all linked nodes.
 
-    ``candidates`` of another filter, ``(num_a, n_a, num_b, n_b)``, are multiplied as well: what
-    they link needs no comparing in crowded columns.
+    ``candidates`` of another filter, ``(num_a, n_a, num_b, n_b)``, are multiplied first: pairs of
+    this filter whose nodes they already connect are not compared, nor in crowded columns.
     """
     first = _rarest(slim, width, percent, bits, common).dropDuplicates(["node"])
     posted = first.join(nodes.select("node", "num", "n"), "node").select(
@@ -370,9 +370,8 @@ def links(
     crowded = dense.groupBy("num").agg(F.count(F.lit(1)).alias("crowded"))
     dense = written(dense.join(crowded, "num"), "ngram-dense")
     met = _met(sparse, crowded, percent)
-    if candidates is not None:
-        met = met.unionByName(_ordered(candidates)).distinct()
-    pairs = written(met, "ngram-pairs")
+    near = None if candidates is None else written(_ordered(candidates), "ngram-near-pairs")
+    pairs = written(met if near is None else met.unionByName(near).distinct(), "ngram-pairs")
     discarded(shared)
     used = pairs.select(F.col("a").alias("num")).union(pairs.select("b")).union(dense.select("num")).distinct()
     wanted = written(nodes.join(used, "num", "left_semi"), "ngram-wanted")
@@ -387,7 +386,20 @@ def links(
         .select("num", "block", "columns"),
         "ngram-incidence",
     )
-    found = written(_multiplied(pairs, matrix, percent), "ngram-links")
+    if near is None:
+        found = written(_multiplied(pairs, matrix, percent), "ngram-links")
+    else:
+        # the other filter's pairs first: what they connect needs no comparing here
+        sure = written(_multiplied(near, matrix, percent), "ngram-near-links")
+        part = written(components(sure), "ngram-near-roots")
+        rest = pairs.join(near, ["a", "b"], "left_anti")
+        for name in ("a", "b"):
+            own = part.select(F.col("node").alias(name), F.col("root").alias(f"root_{name}"))
+            rest = rest.join(own, name, "left")
+        apart = F.coalesce("root_a", "a") != F.coalesce("root_b", "b")
+        rest = rest.filter(apart).select("a", "b", "both")
+        found = written(sure.unionByName(_multiplied(rest, matrix, percent)).distinct(), "ngram-links")
+        discarded(near, sure, part)
     out = found if dense.isEmpty() else _crowded_links(dense, found, matrix, percent)
     discarded(matrix, dense)
     return out
